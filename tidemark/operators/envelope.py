@@ -70,7 +70,7 @@ def source_struct(
     offsets: Column | str = "offsets",
     strict: bool = False,
 ) -> Column:
-    """Where an event came from. ``strict`` raises when a required field is null."""
+    """Where an event came from. ``strict`` raises on a null transaction id or a partition out of range."""
 
     def required(c: Column, name: str) -> Column:
         if not strict:
@@ -81,6 +81,10 @@ def source_struct(
     marker = F.lit(snapshot) if isinstance(snapshot, str) else snapshot
     vector = F.col(offsets) if isinstance(offsets, str) else offsets
     partition = F.col("PartitionId").cast("int")
+    if strict:
+        inside = partition.between(0, config.partitions - 1)
+        problem = F.raise_error(F.lit(f"PartitionId must be in 0..{config.partitions - 1}")).cast("int")
+        partition = F.when(inside, partition).otherwise(problem)
     return F.struct(
         F.lit(config.connector_version).alias("version"),
         F.lit(config.connector_name).alias("connector"),
@@ -91,7 +95,7 @@ def source_struct(
         F.lit(None).cast("string").alias("sequence"),
         F.lit(config.table).alias("table"),
         required(to_hex("TxId"), "txId").alias("txId"),
-        (required(partition.cast("string"), "partitionId").cast("int") if strict else partition).alias("partitionId"),
+        partition.alias("partitionId"),
         vector.alias("offsets"),
     )
 

@@ -116,6 +116,7 @@ def with_offset_vector(
     start: list[str | None] | None = None,
     *,
     out: str = "offsets",
+    span: tuple[int, int] | None = None,
     bucket_rows: int = BUCKET_ROWS,
     fanout: int = FANOUT,
     levels: int = LEVELS,
@@ -130,15 +131,22 @@ def with_offset_vector(
     the running value is taken inside the bucket; what came before the bucket
     is joined on from :func:`carried_offsets`, on the same bucketing. ``seq``
     must be unique, so a bucket never holds more than ``bucket_rows`` records.
+
+    ``span`` is the smallest and largest ``seq``, where a caller knows them (a
+    micro-batch does): levels that such a span does not need are left out, and
+    records of one bucket need no carried values at all.
     """
-    if n < 1:
-        raise ValueError("the vector needs at least one element")
+    if n < 1 or levels < 1:
+        raise ValueError("a vector needs at least one element and one level")
     if start is not None and len(start) != n:
         raise ValueError(f"start vector has {len(start)} elements, expected {n}")
     names = df.columns
-    carried = carried_offsets(
-        df, n, bucket_rows=bucket_rows, fanout=fanout, levels=levels, seq=seq, partition=partition, offset=offset
-    )
+    if span is not None:
+        buckets = span[1] // bucket_rows - span[0] // bucket_rows + 1
+        needed = 0 if buckets == 1 else 1
+        while fanout**needed < buckets:
+            needed += 1
+        levels = min(levels, needed)
     is_binary = df.schema[offset].dataType.typeName() == "binary"
     upto = Window.partitionBy(_block(0)).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
     # Shuffled explicitly: the window's own shuffle would also carry one input column per slot.
@@ -153,10 +161,15 @@ def with_offset_vector(
     )
 
     def slot(i: int) -> Column:
-        known = F.coalesce(f"__own_{i}", _slot(i))
+        known = F.coalesce(f"__own_{i}", _slot(i)) if levels else F.col(f"__own_{i}")
         return F.coalesce(to_hex(known) if is_binary else known, _start(start, i))
 
-    return rows.join(carried, _block(0), "left").select(*names, F.array(*[slot(i) for i in range(n)]).alias(out))
+    if levels:
+        before = carried_offsets(
+            df, n, bucket_rows=bucket_rows, fanout=fanout, levels=levels, seq=seq, partition=partition, offset=offset
+        )
+        rows = rows.join(before, _block(0), "left")
+    return rows.select(*names, F.array(*[slot(i) for i in range(n)]).alias(out))
 
 
 def global_offset_vector(
@@ -183,11 +196,24 @@ def global_offset_vector(
     )
 
 
-def last_offsets(df: DataFrame, *, seq: str = SEQ, partition: str = "PartitionId", offset: str = "Offset") -> DataFrame:
-    """The last offset per database partition, one row for each partition seen."""
-    return df.groupBy(F.col(partition).cast("int").alias("ordinal")).agg(
-        F.max_by(_as_text(df, offset), seq).alias("offset")
-    )
+def last_vector(
+    df: DataFrame,
+    n: int,
+    *,
+    out: str = "offsets",
+    seq: str = SEQ,
+    partition: str = "PartitionId",
+    offset: str = "Offset",
+) -> DataFrame:
+    """One row: the last offset of each database partition as the array 0..n-1, null where there is none.
+
+    A running value per slot, folded inside every input split; nothing is grouped or sorted.
+    """
+    last = [
+        F.max_by(F.col(offset), F.when(F.col(partition) == i, F.col(seq))).alias(_slot(i)) for i in range(n)
+    ]
+    found = df.agg(*last)
+    return found.select(F.array(*[_as_text(found, _slot(i)) for i in range(n)]).alias(out))
 
 
 def dense_vector(df: DataFrame, n: int, *, out: str = "offsets") -> DataFrame:
@@ -237,15 +263,15 @@ def begin_at(
     """Records strictly after the given offset of their own partition; null means from the beginning.
 
     A list becomes comparisons against literals, which parquet can use to skip
-    row groups. A frame of ``(ordinal, offset)`` has one row per database
-    partition at most, as :func:`last_offsets` gives; it is joined.
+    row groups. A one-row frame with an ``offsets`` array, as :func:`last_vector`
+    gives, is computed first and compared as one value of bounded size; the
+    records are neither joined nor shuffled.
     """
     is_binary = df.schema[offset].dataType.typeName() == "binary"
     if isinstance(offsets, DataFrame):
-        bound = F.unhex("__from") if is_binary else F.col("__from")
-        starts = offsets.select(F.col("ordinal").alias("__ordinal"), F.col("offset").alias("__from"))
-        joined = df.join(starts, F.col(partition) == F.col("__ordinal"), "left")
-        return joined.where(F.col("__from").isNull() | (F.col(offset) > bound)).select(*df.columns)
+        vector = offsets.select(F.transform("offsets", F.unhex) if is_binary else F.col("offsets")).scalar()
+        own = F.get(vector, F.col(partition))
+        return df.where(own.isNull() | (F.col(offset) > own))
 
     def literal(text: str) -> Column:
         return F.lit(bytes.fromhex(text) if is_binary else text.lower())

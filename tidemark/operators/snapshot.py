@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..logschema import BEGIN_SNAPSHOT, COMMIT_SNAPSHOT, SEQ
-from .offsets import begin_at, last_offsets
+from .offsets import begin_at, last_vector
 
 # Fixed values of snapshot notifications.
 AGGREGATE_TYPE = "Initial Snapshot"
@@ -13,30 +13,29 @@ STARTED = "STARTED"
 COMPLETED = "COMPLETED"
 
 
-def snapshot_commits(df: DataFrame, *, seq: str = SEQ) -> DataFrame:
-    """First commit of each database partition: at most one row per partition."""
-    return (
-        df.where(F.col("Type") == COMMIT_SNAPSHOT)
-        .groupBy(F.col("PartitionId").alias("__pid"))
-        .agg(F.min(seq).alias("__commit_seq"))
-    )
+def snapshot_commits(df: DataFrame, n: int, *, seq: str = SEQ) -> DataFrame:
+    """One row ``commits``: the first commit's ``seq`` of each partition 0..n-1, null where there is none."""
+    commit = F.col("Type") == COMMIT_SNAPSHOT
+    firsts = [F.min(F.when(F.col("PartitionId") == i, F.col(seq))) for i in range(n)]
+    return df.where(commit).agg(F.array(*firsts).alias("commits"))
 
 
-def snapshot_rows(df: DataFrame, *, seq: str = SEQ) -> DataFrame:
+def snapshot_rows(df: DataFrame, n: int, *, seq: str = SEQ) -> DataFrame:
     """Records of the snapshot: markers dropped, and all at or after the partition's first commit.
 
     Before the commit, any other kind counts as a row. A partition that has not
-    committed yet passes whole.
+    committed yet passes whole. The commits are one value of ``n`` numbers,
+    found in a first pass over the markers; the records are filtered where they
+    lie, without a join.
     """
+    own = F.get(snapshot_commits(df, n, seq=seq).scalar(), F.col("PartitionId"))
     data = df.where(~F.col("Type").isin(BEGIN_SNAPSHOT, COMMIT_SNAPSHOT))
-    joined = data.join(snapshot_commits(df, seq=seq), F.col("PartitionId") == F.col("__pid"), "left")
-    inside = F.col("__commit_seq").isNull() | (F.col(seq) < F.col("__commit_seq"))
-    return joined.where(inside).select(*df.columns)
+    return data.where(own.isNull() | (F.col(seq) < own))
 
 
 def snapshot_complete(df: DataFrame, n: int) -> DataFrame:
     """One row ``completed``: true when all ``n`` partitions have committed."""
-    return snapshot_commits(df).agg((F.count(F.lit(1)) >= n).alias("completed"))
+    return snapshot_commits(df, n).select(F.forall("commits", lambda c: c.isNotNull()).alias("completed"))
 
 
 def mark_first(df: DataFrame, *, seq: str = SEQ, out: str = "snapshot") -> DataFrame:
@@ -52,26 +51,13 @@ def snapshot_flags(snapshot: Column, completed: Column) -> Column:
 
 
 def snapshot_progress(df: DataFrame, n: int, *, seq: str = SEQ) -> DataFrame:
-    """Per table: rows scanned, partitions committed, and whether all ``n`` have committed."""
-    commits = df.where(F.col("Type") == COMMIT_SNAPSHOT).groupBy("Table", "PartitionId").agg(
-        F.min(seq).alias("__commit_seq")
-    )
-    rows = (
-        df.where(~F.col("Type").isin(BEGIN_SNAPSHOT, COMMIT_SNAPSHOT))
-        .select("Table", "PartitionId", seq)
-        .join(commits, ["Table", "PartitionId"], "left")
-        .where(F.col("__commit_seq").isNull() | (F.col(seq) < F.col("__commit_seq")))
-        .groupBy("Table")
-        .agg(F.count(F.lit(1)).alias("rows_scanned"))
-    )
-    committed = commits.groupBy("Table").agg(F.count(F.lit(1)).alias("partitions_committed"))
-    seen = F.coalesce("partitions_committed", F.lit(0).cast("bigint"))
-    return rows.join(committed, "Table", "full").select(
-        "Table",
-        F.coalesce("rows_scanned", F.lit(0).cast("bigint")).alias("rows_scanned"),
-        seen.alias("partitions_committed"),
-        (seen >= n).alias("completed"),
-    )
+    """Rows scanned per table, partitions committed, and whether all ``n`` have. A log holds one table's snapshot."""
+    commits = snapshot_commits(df, n, seq=seq).scalar()
+    own = F.get(commits, F.col("PartitionId"))
+    is_row = ~F.col("Type").isin(BEGIN_SNAPSHOT, COMMIT_SNAPSHOT) & (own.isNull() | (F.col(seq) < own))
+    counted = df.groupBy("Table").agg(F.count_if(is_row).alias("rows_scanned")).withColumn("__commits", commits)
+    seen = F.size(F.filter("__commits", lambda c: c.isNotNull())).cast("bigint")
+    return counted.select("Table", "rows_scanned", seen.alias("partitions_committed"), (seen >= n).alias("completed"))
 
 
 def snapshot_notifications(
@@ -107,12 +93,12 @@ def snapshot_notifications(
     )
 
 
-def snapshot_then_stream(snapshot: DataFrame, changes: DataFrame, *, seq: str = SEQ) -> DataFrame:
+def snapshot_then_stream(snapshot: DataFrame, changes: DataFrame, n: int, *, seq: str = SEQ) -> DataFrame:
     """Snapshot records, then the changes after the snapshot's last offset of each partition.
 
     A partition without snapshot rows has no offset and is read from its
     beginning. ``phase`` is 0 for the snapshot and 1 for changes; order by
     ``(phase, seq)``.
     """
-    resumed = begin_at(changes, last_offsets(snapshot, seq=seq))
+    resumed = begin_at(changes, last_vector(snapshot, n, seq=seq))
     return snapshot.withColumn("phase", F.lit(0)).unionByName(resumed.withColumn("phase", F.lit(1)))

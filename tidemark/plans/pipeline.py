@@ -77,21 +77,23 @@ def cdc_events(
     *,
     snapshot: bool = False,
     start: list[str | None] | None = None,
+    span: tuple[int, int] | None = None,
     ts_ms: Column | None = None,
     hooks: Hooks | None = None,
 ) -> DataFrame:
     """Events ``seq, topic, key, before, after, source, op, ts_ms`` of one log.
 
-    The vector is attached before operations are skipped, because a skipped
-    event still moves it.
+    ``span`` is the log's first and last ``seq``, if known. The vector is
+    attached before operations are skipped, because a skipped event still
+    moves it.
     """
     hooks = hooks or Hooks()
     pk = primary_key(table)
     moment = ts_ms if ts_ms is not None else processing_time()
-    rows = snapshot_rows(log) if snapshot else drop_markers(log)
-    rows = with_offset_vector(rows, config.partitions, start, bucket_rows=config.bucket_rows)
+    rows = mark_first(snapshot_rows(log, config.partitions)) if snapshot else drop_markers(log)
+    rows = with_offset_vector(rows, config.partitions, start, span=span, bucket_rows=config.bucket_rows)
     rows = map_op(_apply_failure_mode(rows, table, config), snapshot)
-    rows = mark_first(rows) if snapshot else skip_operations(rows, config.skipped_operations)
+    rows = rows if snapshot else skip_operations(rows, config.skipped_operations)
     source = source_struct(config, ts_ms=moment, snapshot=F.col("snapshot") if snapshot else "false", strict=True)
     if hooks.source:
         source = hooks.source(source)

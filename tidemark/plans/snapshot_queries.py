@@ -36,7 +36,7 @@ SNAP_SLOTS = ", ".join(
 
 @query("snapshot_rows", S + "SELECT seq, pid::INTEGER AS partition_id, c_custkey FROM snap")
 def snapshot_rows_query(spark, sf_dir):
-    rows = osn.snapshot_rows(fx.customer_snapshot(spark, sf_dir))
+    rows = osn.snapshot_rows(fx.customer_snapshot(spark, sf_dir), PARTITIONS)
     return rows.select("seq", F.col("PartitionId").alias("partition_id"), "c_custkey")
 
 
@@ -44,7 +44,7 @@ def snapshot_rows_query(spark, sf_dir):
 def snapshot_scan_query(spark, sf_dir):
     path = fresh_path(spark, "snapshot-log")
     fx.customer_snapshot(spark, sf_dir).write.parquet(path)
-    return snapshot_scan(spark, path, CUSTOMER_TABLE).select("seq", "c_custkey", "c_name", "c_acctbal")
+    return snapshot_scan(spark, path, CUSTOMER_TABLE, PARTITIONS).select("seq", "c_custkey", "c_name", "c_acctbal")
 
 
 @query(
@@ -74,7 +74,7 @@ def snapshot_events_query(spark, sf_dir):
     S + "SELECT seq, CASE WHEN seq = (SELECT min(seq) FROM snap) THEN 'first' ELSE 'true' END AS snapshot FROM snap",
 )
 def snapshot_first_mark_query(spark, sf_dir):
-    return osn.mark_first(osn.snapshot_rows(fx.customer_snapshot(spark, sf_dir))).select("seq", "snapshot")
+    return osn.mark_first(osn.snapshot_rows(fx.customer_snapshot(spark, sf_dir), PARTITIONS)).select("seq", "snapshot")
 
 
 @query(
@@ -85,8 +85,8 @@ def snapshot_first_mark_query(spark, sf_dir):
       UNION ALL SELECT 1, slog.seq, c_custkey FROM slog LEFT JOIN last USING (pid) WHERE last.off IS NULL OR slog.off > last.off""",
 )
 def snapshot_then_stream_query(spark, sf_dir):
-    snap = osn.snapshot_rows(fx.customer_snapshot(spark, sf_dir))
-    whole = osn.snapshot_then_stream(snap, fx.customer_changes(spark, sf_dir))
+    snap = osn.snapshot_rows(fx.customer_snapshot(spark, sf_dir), PARTITIONS)
+    whole = osn.snapshot_then_stream(snap, fx.customer_changes(spark, sf_dir), PARTITIONS)
     return whole.select("phase", "seq", "c_custkey")
 
 
@@ -99,8 +99,8 @@ def snapshot_then_stream_query(spark, sf_dir):
 )
 def snapshot_then_stream_gap_query(spark, sf_dir):
     # Partition 3 has no snapshot rows, so it has no offset and is read from its beginning.
-    snap = osn.snapshot_rows(fx.customer_snapshot(spark, sf_dir)).where("PartitionId <> 3")
-    whole = osn.snapshot_then_stream(snap, fx.customer_changes(spark, sf_dir))
+    snap = osn.snapshot_rows(fx.customer_snapshot(spark, sf_dir), PARTITIONS).where("PartitionId <> 3")
+    whole = osn.snapshot_then_stream(snap, fx.customer_changes(spark, sf_dir), PARTITIONS)
     return whole.select("phase", "seq", "c_custkey")
 
 
@@ -131,6 +131,6 @@ def snapshot_notifications_query(spark, sf_dir):
         FROM range(8) r(p) LEFT JOIN last ON last.pid = p) AS offsets""",
 )
 def snapshot_heartbeat_query(spark, sf_dir):
-    snap = osn.snapshot_rows(fx.customer_snapshot(spark, sf_dir))
-    vector = oo.dense_vector(oo.last_offsets(snap), PARTITIONS)
+    snap = osn.snapshot_rows(fx.customer_snapshot(spark, sf_dir), PARTITIONS)
+    vector = oo.last_vector(snap, PARTITIONS)
     return om.snapshot_heartbeat(vector, CUSTOMER_CONFIG.heartbeat_prefix, PREFIX)

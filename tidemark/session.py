@@ -17,6 +17,20 @@ DEFAULTS = {
 }
 
 
+# Bytes a shuffle partition should hold.
+SHUFFLE_TARGET = 256 << 20
+
+
+def scale_conf(input_bytes: int, cores: int = 1) -> dict[str, str]:
+    """Shuffle settings for an input size. Adaptive execution joins small partitions, but cannot split large ones."""
+    partitions = max(cores * 2, -(-input_bytes // SHUFFLE_TARGET), 8)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_TARGET),
+        "spark.sql.files.maxPartitionBytes": str(SHUFFLE_TARGET),
+    }
+
+
 def get_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are written for."""
     builder = SparkSession.builder.appName(app)

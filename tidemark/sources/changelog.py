@@ -15,9 +15,15 @@ def read_log(spark: SparkSession, path: str, table: StructType, fmt: str = "parq
     return spark.read.format(fmt).schema(raw_log_schema(table)).load(path)
 
 
-def snapshot_scan(spark: SparkSession, path: str, table: StructType, fmt: str = "parquet") -> DataFrame:
-    """The bounded read: a log's records up to each partition's snapshot commit."""
-    return snapshot_rows(read_log(spark, path, table, fmt))
+def snapshot_scan(spark: SparkSession, path: str, table: StructType, n: int, fmt: str = "parquet") -> DataFrame:
+    """The bounded read: a log's records up to the snapshot commit of each of ``n`` partitions."""
+    return snapshot_rows(read_log(spark, path, table, fmt), n)
+
+
+def parse_records(records: DataFrame, table: StructType, value: str = "value") -> DataFrame:
+    """Message values holding one raw log record each as JSON; bytes are base64 text in it."""
+    parsed = F.from_json(F.col(value).cast("string"), raw_log_schema(table)).alias("record")
+    return records.select(parsed).select("record.*")
 
 
 def change_stream(
@@ -34,19 +40,16 @@ def change_stream(
 ) -> DataFrame:
     """The unbounded read, from a vector of offsets.
 
-    A folder is read file by file, at most ``max_files`` per batch. Kafka
-    records hold one raw log record each as JSON, at most ``max_records`` per
-    batch; bytes are base64 text in it, as in any JSON record.
+    A folder is read file by file, at most ``max_files`` per batch; Kafka
+    messages (see :func:`parse_records`) at most ``max_records`` per batch.
     """
-    schema = raw_log_schema(table)
     if kafka is not None:
         reader = spark.readStream.format("kafka").options(**kafka).option("failOnDataLoss", "true")
         if max_records:
             reader = reader.option("maxOffsetsPerTrigger", str(max_records))
-        parsed = F.from_json(F.col("value").cast("string"), schema).alias("record")
-        log = reader.load().select(parsed).select("record.*")
+        log = parse_records(reader.load(), table)
     else:
-        reader = spark.readStream.format(fmt).schema(schema)
+        reader = spark.readStream.format(fmt).schema(raw_log_schema(table))
         if max_files:
             reader = reader.option("maxFilesPerTrigger", str(max_files))
         if glob:

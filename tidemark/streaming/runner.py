@@ -40,24 +40,29 @@ class Capture:
         return f"{self.out}/{kind}/run={run}/batch={batch}"
 
 
-def advance(rows: DataFrame, offset: Offset) -> Offset:
-    """The offset after a bounded set of data records: one row per database partition reaches the driver."""
-    last = (
-        rows.groupBy(F.col("PartitionId").alias("pid"))
-        .agg(
-            F.max("seq").alias("seq"),
-            F.max_by(to_hex("Offset"), "seq").alias("offset"),
-            F.max_by(to_hex("TxId"), "seq").alias("tx"),
-        )
-        .collect()
-    )
-    if not last:
-        return offset
-    vector = list(offset.vector)
-    for row in last:
-        vector[row["pid"]] = row["offset"]
-    newest = max(last, key=lambda row: row["seq"])
-    return replace(offset, vector=vector, tx_id=newest["tx"], partition_id=newest["pid"])
+@dataclass(frozen=True)
+class Advance:
+    """What a bounded set of data records does to an offset, and the ``seq`` it spans."""
+
+    offset: Offset
+    span: tuple[int, int] | None
+
+
+def advance(rows: DataFrame, offset: Offset) -> Advance:
+    """The offset after the records: one row of fixed size reaches the driver."""
+    n = len(offset.vector)
+    place = F.struct(to_hex("TxId").alias("tx"), F.col("PartitionId").alias("pid"))
+    last = rows.agg(
+        F.min("seq").alias("low"),
+        F.max("seq").alias("high"),
+        F.max_by(place, "seq").alias("place"),
+        *[F.max_by("Offset", F.when(F.col("PartitionId") == i, F.col("seq"))).alias(f"o{i}") for i in range(n)],
+    ).first()
+    if last["low"] is None:
+        return Advance(offset, None)
+    vector = [old if last[f"o{i}"] is None else last[f"o{i}"].hex() for i, old in enumerate(offset.vector)]
+    moved = replace(offset, vector=vector, tx_id=last["place"]["tx"], partition_id=last["place"]["pid"])
+    return Advance(moved, (last["low"], last["high"]))
 
 
 def _heartbeat(spark: SparkSession, job: Capture, offset: Offset) -> None:
@@ -76,18 +81,26 @@ def take_snapshot(spark: SparkSession, job: Capture, log: DataFrame, start: Offs
     """
     config = job.config
     save_offset(spark, job.state, replace(start, snapshot=True, completed=False))
+    if not snapshot_complete(log, config.partitions).first()["completed"]:
+        raise RuntimeError("the snapshot log ends before every partition has committed")
+    ahead = advance(snapshot_rows(log, config.partitions), start)
     events = cdc_events(
-        log, job.table, config, snapshot=True, start=start.vector, ts_ms=job.ts_ms, hooks=job.hooks
+        log,
+        job.table,
+        config,
+        snapshot=True,
+        start=start.vector,
+        span=ahead.span,
+        ts_ms=job.ts_ms,
+        hooks=job.hooks,
     )
     write_events(cdc_records(events, config), job.folder("events", start.run, start.batch))
-    if not snapshot_complete(log, config.partitions).first()["completed"]:
-        raise RuntimeError("the snapshot log ends before every partition has committed")
     if config.notification_channels:
         moment = job.ts_ms if job.ts_ms is not None else F.unix_millis(F.current_timestamp())
         snapshot_notifications(
             log.withColumn("ts_ms", moment), config.partitions, config.notification_channels
         ).write.mode("overwrite").parquet(job.folder("notifications", start.run, start.batch))
-    done = replace(advance(snapshot_rows(log), start), snapshot=False, completed=True)
+    done = replace(ahead.offset, snapshot=False, completed=True)
     save_offset(spark, job.state, done)
     _heartbeat(spark, job, done)
     return done
@@ -101,18 +114,24 @@ def batch_writer(job: Capture, first: Offset) -> Callable[[DataFrame, int], None
         number = first.batch + batch_id + 1
         previous = load_offset(spark, job.state, first.run, number - 1)
         log = begin_at(batch, first.vector)
+        ahead = advance(drop_markers(log), replace(previous, snapshot=False, completed=True, batch=number))
         events = cdc_events(
-            log, job.table, job.config, start=previous.vector, ts_ms=job.ts_ms, hooks=job.hooks
+            log,
+            job.table,
+            job.config,
+            start=previous.vector,
+            span=ahead.span,
+            ts_ms=job.ts_ms,
+            hooks=job.hooks,
         )
         write_events(cdc_records(events, job.config), job.folder("events", first.run, number))
         if job.config.failure_mode == "warn":
             rejected_records(log, job.table, job.config).write.mode("overwrite").parquet(
                 job.folder("rejects", first.run, number)
             )
-        now = advance(drop_markers(log), replace(previous, snapshot=False, completed=True, batch=number))
         if job.config.heartbeat_interval_ms > 0:
-            _heartbeat(spark, job, now)
-        save_offset(spark, job.state, now)
+            _heartbeat(spark, job, ahead.offset)
+        save_offset(spark, job.state, ahead.offset)
 
     return write
 
