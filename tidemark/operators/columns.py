@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from ..config import CdcConfig, split_list
 from ..functions.masks import mask_chars, mask_hash, truncate_chars
@@ -47,9 +47,10 @@ def select_columns(
     return df.select(*[c for c in df.columns if c not in own or c in keep])
 
 
-def masked(config: CdcConfig, names: list[str]) -> dict[str, Column]:
-    """The masking expression of every column that has one."""
+def masked(config: CdcConfig, table: StructType) -> dict[str, Column]:
+    """The masking expression of every text column that has one. Other types have nothing to mask."""
     prefix = f"{config.db}.{config.table}"
+    names = [f.name for f in table.fields if isinstance(f.dataType, StringType)]
     out: dict[str, Column] = {}
     for length, patterns in config.truncate.items():
         for name in matching(names, patterns, prefix):

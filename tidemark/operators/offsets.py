@@ -150,26 +150,25 @@ def with_offset_vector(
     is_binary = df.schema[offset].dataType.typeName() == "binary"
     upto = Window.partitionBy(_block(0)).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
     # Shuffled explicitly: the window's own shuffle would also carry one input column per slot.
+    # Bytes travel, and each becomes text once, where it enters a slot.
     placed = df.withColumn(_block(0), _div(F.col(seq), bucket_rows)).repartition(_block(0))
+    text = to_hex(offset) if is_binary else F.col(offset)
     rows = placed.select(
         *names,
         _block(0),
-        *[
-            F.last(F.when(F.col(partition) == i, F.col(offset)), True).over(upto).alias(f"__own_{i}")
-            for i in range(n)
-        ],
+        *[F.last(F.when(F.col(partition) == i, text), True).over(upto).alias(f"__own_{i}") for i in range(n)],
     )
-
-    def slot(i: int) -> Column:
-        known = F.coalesce(f"__own_{i}", _slot(i)) if levels else F.col(f"__own_{i}")
-        return F.coalesce(to_hex(known) if is_binary else known, _start(start, i))
-
+    known = [[F.col(f"__own_{i}")] for i in range(n)]
     if levels:
         before = carried_offsets(
             df, n, bucket_rows=bucket_rows, fanout=fanout, levels=levels, seq=seq, partition=partition, offset=offset
         )
+        if is_binary:
+            before = before.select(_block(0), *[to_hex(_slot(i)).alias(_slot(i)) for i in range(n)])
         rows = rows.join(before, _block(0), "left")
-    return rows.select(*names, F.array(*[slot(i) for i in range(n)]).alias(out))
+        known = [[*own, F.col(_slot(i))] for i, own in enumerate(known)]
+    slots = [F.coalesce(*own, _start(start, i)) for i, own in enumerate(known)]
+    return rows.select(*names, F.array(*slots).alias(out))
 
 
 def global_offset_vector(

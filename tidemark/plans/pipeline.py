@@ -30,7 +30,7 @@ from ..sources.catalog import primary_key
 
 def row_columns(table: StructType, config: CdcConfig, hooks: Hooks) -> list[Column]:
     """The ``after`` fields: selected, converted, masked, with propagated facts."""
-    masks = masked(config, table.names)
+    masks = masked(config, table)
     facts = propagated(table, config)
     keep = selected_columns(table.names, config.column_include, config.column_exclude, config.db, config.table)
     columns = []

@@ -58,7 +58,7 @@ def column_masks_query(spark, sf_dir):
         CUSTOMER_CONFIG, mask_hash={("SHA-256", "s"): r"shop\.customer\.c_name"}, truncate={4: r".*\.c_mktsegment"}
     )
     customer = fx.load(spark, sf_dir, "customer")
-    return customer.withColumns(oc.masked(config, customer.columns))
+    return customer.withColumns(oc.masked(config, customer.schema))
 
 
 @query(

@@ -27,7 +27,11 @@ from .start import Offset, StartPlan, load_offset, plan_start, save_offset
 
 @dataclass(frozen=True)
 class Capture:
-    """A capture job: one table's logs, and the folders for events and for state."""
+    """A capture job: one table's logs, and the folders for events and for state.
+
+    With ``kafka`` options, events also go to their topics; a repeated batch
+    sends them again there, as that sink cannot take a batch back.
+    """
 
     config: CdcConfig
     table: StructType
@@ -35,6 +39,13 @@ class Capture:
     state: str
     hooks: Hooks = field(default_factory=Hooks)
     ts_ms: Column | None = None
+    kafka: dict[str, str] | None = None
+
+    def write(self, events: DataFrame, run: int, batch: int) -> None:
+        folder = self.folder("events", run, batch)
+        write_events(cdc_records(events, self.config), folder)
+        if self.kafka is not None:
+            write_events(events.sparkSession.read.parquet(folder), kafka=self.kafka)
 
     def folder(self, kind: str, run: int, batch: int) -> str:
         return f"{self.out}/{kind}/run={run}/batch={batch}"
@@ -94,7 +105,7 @@ def take_snapshot(spark: SparkSession, job: Capture, log: DataFrame, start: Offs
         ts_ms=job.ts_ms,
         hooks=job.hooks,
     )
-    write_events(cdc_records(events, config), job.folder("events", start.run, start.batch))
+    job.write(events, start.run, start.batch)
     if config.notification_channels:
         moment = job.ts_ms if job.ts_ms is not None else F.unix_millis(F.current_timestamp())
         snapshot_notifications(
@@ -124,7 +135,7 @@ def batch_writer(job: Capture, first: Offset) -> Callable[[DataFrame, int], None
             ts_ms=job.ts_ms,
             hooks=job.hooks,
         )
-        write_events(cdc_records(events, job.config), job.folder("events", first.run, number))
+        job.write(events, first.run, number)
         if job.config.failure_mode == "warn":
             rejected_records(log, job.table, job.config).write.mode("overwrite").parquet(
                 job.folder("rejects", first.run, number)
@@ -159,7 +170,8 @@ def run_cdc(
     if resumed:
         first = load_offset(spark, job.state, stored.run, 0)
     else:
-        run = stored.run + 1 if stored else 0
+        # An unfinished snapshot is taken again in its own run, over what it left behind.
+        run = 0 if stored is None else stored.run + (1 if stored.finished else 0)
         first = Offset(plan.vector, run=run)
         if plan.snapshot:
             if snapshot is None:
@@ -167,6 +179,7 @@ def run_cdc(
             first = take_snapshot(spark, job, snapshot, first)
         elif plan.stream:
             save_offset(spark, job.state, first)
+            _heartbeat(spark, job, first)
     if not plan.stream:
         return None
     writer = changes.writeStream.foreachBatch(batch_writer(job, first)).option(
