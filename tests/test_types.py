@@ -177,6 +177,13 @@ def wkb(shape, rings):
     return bytearray(out)
 
 
+def test_long_path(spark):
+    ring = [(i, -i / 4) for i in range(50000)]
+    text = "POLYGON((" + ",".join(f"{x} {y}" for x, y in ring) + "))"
+    frame = spark.createDataFrame([(text,)], "t string")
+    assert frame.select(fg.wkt_to_wkb("t").alias("w")).first()["w"] == wkb(3, [ring])
+
+
 def test_geography(spark):
     square = [(1, 1), (2, 1), (2, 2), (1, 2), (1, 1)]
     cases = [

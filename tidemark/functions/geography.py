@@ -20,11 +20,12 @@ EMPTY_COLLECTION = "010700000000000000"
 
 _NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
 _PAIR = rf"{_NUMBER}\s+{_NUMBER}"
-_RING = rf"\(\s*{_PAIR}(?:\s*,\s*{_PAIR})*\s*\)"
+# Possessive repeats are matched in a loop; plain ones recurse and overflow on long paths.
+_RING = rf"\(\s*{_PAIR}(?:\s*,\s*{_PAIR})*+\s*\)"
 _FORMS = {
     POINT: rf"(?i)^\s*POINT\s*\(\s*{_PAIR}\s*\)\s*$",
     LINESTRING: rf"(?i)^\s*LINESTRING\s*{_RING}\s*$",
-    POLYGON: rf"(?i)^\s*POLYGON\s*\(\s*{_RING}(?:\s*,\s*{_RING})*\s*\)\s*$",
+    POLYGON: rf"(?i)^\s*POLYGON\s*\(\s*{_RING}(?:\s*,\s*{_RING})*+\s*\)\s*$",
 }
 
 
@@ -54,18 +55,26 @@ def _path_encoder():
 
     @F.arrow_udf(BinaryType())
     def encode(shape: pa.Array, rings: pa.Array) -> pa.Array:
+        inner = rings.flatten()
+        sizes = np.asarray(inner.value_lengths(), dtype="i8")
+        points = inner.flatten().to_numpy(zero_copy_only=False).astype(">f8").tobytes()
+        ends = (np.concatenate([[0], np.cumsum(sizes)]) * 8).tolist()
+        heads = (sizes // 2).astype(">u4").tobytes()
+        counts = rings.value_lengths().fill_null(0).to_pylist()
         out: list[bytes | None] = []
-        for code, row in zip(shape.to_pylist(), rings):
-            if code is None or not row.is_valid:
+        ring = 0
+        for code, count in zip(shape.to_pylist(), counts):
+            if code is None:
                 out.append(None)
+                ring += count
                 continue
-            body = [b"\x00", np.array(code, ">u4").tobytes()]
+            parts = [b"\x00", code.to_bytes(4, "big")]
             if code == polygon:
-                body.append(np.array(len(row.values), ">u4").tobytes())
-            for ring in row.values:
-                values = ring.values.to_numpy(zero_copy_only=False)
-                body += [np.array(len(values) // 2, ">u4").tobytes(), values.astype(">f8").tobytes()]
-            out.append(b"".join(body))
+                parts.append(count.to_bytes(4, "big"))
+            for _ in range(count):
+                parts += [heads[ring * 4 : ring * 4 + 4], points[ends[ring] : ends[ring + 1]]]
+                ring += 1
+            out.append(b"".join(parts))
         return pa.array(out, pa.binary())
 
     return encode

@@ -24,23 +24,20 @@ def parse_duration(text: Column | str, strict: bool = True) -> Column:
     or gives null when not ``strict``.
     """
     c = _col(text)
-
-    def part(group: int) -> Column:
-        found = F.regexp_extract(c, DURATION, group)
-        return F.when(found != "", found.cast("bigint")).otherwise(F.lit(0))
-
-    hours, minutes = part(1), part(2)
-    has_seconds = F.regexp_extract(c, DURATION, 4) != ""
-    nanos = F.rpad(F.regexp_extract(c, DURATION, 6), 9, "0").cast("bigint")
-    seconds = F.when(has_seconds, part(4)).otherwise(F.lit(0))
-    micros = F.when(has_seconds, _div(nanos, 1000)).otherwise(F.lit(0))
-    rest = (minutes * 60 + seconds) * 1000000 + micros
-    total = hours * 3600000000 + F.when(hours >= 0, rest).otherwise(-rest)
+    # One regular expression decides; the parts are then cut at fixed characters.
+    clock = F.substring_index(c, ".", 1)
+    upto_minutes = F.substring_index(clock, ":", 2)
+    hours = F.substring_index(clock, ":", 1).cast("bigint")
+    minutes = F.substring_index(upto_minutes, ":", -1).cast("bigint")
+    fraction = F.when(clock != c, F.rpad(F.substring_index(c, ".", -1), 6, "0").cast("bigint")).otherwise(F.lit(0))
+    seconds = F.substring_index(clock, ":", -1).cast("bigint") * 1000000 + fraction
+    rest = minutes * 60000000 + F.when(clock != upto_minutes, seconds).otherwise(F.lit(0))
+    total = hours * 3600000000 + rest * F.when(hours >= 0, F.lit(1)).otherwise(F.lit(-1))
     value = F.when(c.rlike(DURATION), total)
     if not strict:
         return value
     problem = F.raise_error(F.concat(F.lit("unexpected format for TIME column: "), c))
-    return F.when(c.isNotNull() & ~c.rlike(DURATION), problem.cast("bigint")).otherwise(value)
+    return value.when(c.isNotNull(), problem.cast("bigint"))
 
 
 def convert_time(micros: Column | str, mode: str = "adaptive", length: int = TIME_SECONDS_WIDTH) -> Column:
