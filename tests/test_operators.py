@@ -182,14 +182,35 @@ def test_topics(spark):
 
 def test_messages_carry_their_schema(spark):
     events = cdc_events(make_log(spark, [("Insert", 0, 1, 33, "a"), ("Delete", 0, 1, 33, None)]), TABLE, CONFIG)
-    rows = os_.to_messages(cdc_records(events, CONFIG), "p.db.t").orderBy("seq", "is_tombstone").collect()
+    rows = os_.to_messages(cdc_records(events, CONFIG), "p.db.t", TABLE).orderBy("seq", "is_tombstone").collect()
     key, value = json.loads(rows[0]["key"]), json.loads(rows[0]["value"])
-    assert key["payload"] == {"a": 33} and key["schema"]["fields"][0]["type"] == "int64"
+    assert key["payload"] == {"a": 33}
+    assert key["schema"]["fields"] == [{"type": "int64", "optional": False, "field": "a"}]
+    after = value["schema"]["fields"][1]
+    assert [(f["field"], f["optional"]) for f in after["fields"]] == [("a", False), ("b", True)]
+    assert value["payload"]["transaction"] is None
     assert value["payload"]["after"] == {"a": 33, "b": "a"} and value["payload"]["before"] is None
-    assert [f["field"] for f in value["schema"]["fields"]] == ["before", "after", "source", "op", "ts_ms"]
+    assert [f["field"] for f in value["schema"]["fields"]] == [
+        "before",
+        "after",
+        "source",
+        "op",
+        "ts_ms",
+        "transaction",
+    ]
     assert rows[2]["value"] is None and rows[2]["key"] == rows[1]["key"]
 
 
+def test_propagated_types_reach_the_message(spark):
+    table = StructType([TABLE["a"], replace_meta(TABLE["b"], type="VARCHAR(20)", length=20)])
+    config = replace(CONFIG, propagate_types=".*VARCHAR")
+    events = cdc_events(make_log(spark, [("Insert", 0, 1, 33, "a")], table), table, config)
+    value = json.loads(os_.to_messages(events, "p.db.t", table).first()["value"])
+    a, b = value["schema"]["fields"][1]["fields"]
+    assert "parameters" not in a
+    assert b["parameters"] == {"source.column.type": "VARCHAR", "source.column.length": "20", "source.column.name": "b"}
+
+
 def test_written_events_are_in_order(spark, tmp_path):
     log = make_log(spark, [("Insert" if i % 3 else "Delete", i % 4, i, i % 5, "v") for i in range(200)])
     records = cdc_records(cdc_events(log, TABLE, replace(CONFIG, bucket_rows=16)), CONFIG)

@@ -23,6 +23,10 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from ..logschema import INTERNAL_ID
+
+# Fixed value: what a message would say of its transaction.
+TRANSACTION = "struct<id:string,total_order:bigint,data_collection_order:bigint>"
 VALUE_FIELDS = ("before", "after", "source", "op", "ts_ms")
 
 
@@ -102,14 +106,32 @@ def with_tombstones(df: DataFrame, enabled: bool = True) -> DataFrame:
     return whole.select(*own, F.inline(rows))
 
 
-def to_messages(df: DataFrame, name: str = "") -> DataFrame:
+def _with_table_facts(schema: dict, table: StructType | None) -> dict:
+    """Marks the row's required columns, which a frame read from files no longer knows."""
+    required = {f.name for f in table.fields if not f.nullable} if table is not None else set()
+    for side in schema["fields"]:
+        if side["field"] in ("before", "after"):
+            for f in side["fields"]:
+                f["optional"] = f["field"] not in required and f["field"] != INTERNAL_ID
+    return schema
+
+
+def to_messages(df: DataFrame, name: str = "", table: StructType | None = None) -> DataFrame:
     """Key and value as self-contained ``{schema, payload}`` JSON text. A tombstone keeps a null value.
 
-    The schema part is built once from the frame's schema; rows only serialize their payload.
+    The schema part is built once, from the frame's schema and the table's;
+    rows only serialize their payload. The log has no transaction facts, so
+    that field is always null.
     """
     whole = df if "value" in df.columns else with_value(df)
+    whole = whole.withColumn(
+        "value", F.when(F.col("value").isNotNull(), F.col("value").withField("transaction", F.lit(None).cast(TRANSACTION)))
+    )
     key_schema = message_schema(whole.schema["key"].dataType, False, f"{name}.Key" if name else None)
+    for f in key_schema["fields"]:
+        f["optional"] = False
     value_schema = message_schema(whole.schema["value"].dataType, False, f"{name}.Envelope" if name else None)
+    value_schema = _with_table_facts(value_schema, table)
     rest = [c for c in whole.columns if c not in ("key", "value")]
     return whole.select(
         *rest, _message(F.col("key"), key_schema).alias("key"), _message(F.col("value"), value_schema).alias("value")

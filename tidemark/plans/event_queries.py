@@ -272,16 +272,16 @@ def topic_route_unicode_query(spark, sf_dir):
     "messages_json",
     V
     + f"""SELECT seq,
-      '{{"schema":{{"type":"struct","fields":[{{"type":"int64","optional":true,"field":"user_id"}}],"optional":false,"name":"app.shop.user_events.Key"}},"payload":{{"user_id":' || user_id || '}}}}' AS key,
+      '{{"schema":{{"type":"struct","fields":[{{"type":"int64","optional":false,"field":"user_id"}}],"optional":false,"name":"app.shop.user_events.Key"}},"payload":{{"user_id":' || user_id || '}}}}' AS key,
       '{{"before":null,"after":' || CASE WHEN op = 'd' THEN 'null' ELSE
         '{{"user_id":' || user_id || ',"event_type":"' || event_type || '","value":' || value || ',"props":' || to_json(props) || ',"ts":' || us || '}}' END
       || ',"source":{{"version":"0.1.0","connector":"tidemark","name":"{PREFIX}","ts_ms":' || ms || ',"snapshot":"false","db":"{DB}","sequence":null,"table":"{TABLE}","txId":"'
       || tx || '","partitionId":' || pid || ',"offsets":['
       || array_to_string(list_transform(string_split(offsets, ','), lambda o: CASE WHEN o = 'null' THEN o ELSE '"' || o || '"' END), ',')
-      || ']}},"op":"' || op || '","ts_ms":' || ms || '}}' AS payload FROM vec""",
+      || ']}},"op":"' || op || '","ts_ms":' || ms || ',"transaction":null}}' AS payload FROM vec""",
 )
 def messages_json_query(spark, sf_dir):
-    messages = os_.to_messages(events_of(spark, sf_dir), f"{PREFIX}.{DB}.{TABLE}")
+    messages = os_.to_messages(events_of(spark, sf_dir), f"{PREFIX}.{DB}.{TABLE}", EVENTS_TABLE)
     payload = F.substring_index("value", ',"payload":', -1)
     return messages.select("seq", "key", payload.substr(F.lit(1), F.length(payload) - 1).alias("payload"))
 

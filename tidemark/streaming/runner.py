@@ -19,7 +19,7 @@ from ..functions.offsets import to_hex
 from ..hooks import Hooks
 from ..operators.envelope import drop_markers
 from ..operators.offsets import begin_at
-from ..operators.sinks import write_events
+from ..operators.sinks import to_messages, write_events
 from ..operators.snapshot import snapshot_complete, snapshot_notifications, snapshot_rows
 from ..plans.pipeline import cdc_events, cdc_records, rejected_records
 from .start import Offset, StartPlan, load_offset, plan_start, save_offset
@@ -45,7 +45,9 @@ class Capture:
         folder = self.folder("events", run, batch)
         write_events(cdc_records(events, self.config), folder)
         if self.kafka is not None:
-            write_events(events.sparkSession.read.parquet(folder), kafka=self.kafka)
+            written = events.sparkSession.read.parquet(folder)
+            name = f"{self.config.topic_prefix}.{self.config.db}.{self.config.table}"
+            write_events(to_messages(written, name, self.table), kafka=self.kafka)
 
     def folder(self, kind: str, run: int, batch: int) -> str:
         return f"{self.out}/{kind}/run={run}/batch={batch}"
@@ -191,4 +193,4 @@ def run_cdc(
 
 def read_events(spark: SparkSession, job: Capture) -> DataFrame:
     """All events a job has written, with their run and batch numbers."""
-    return spark.read.option("mergeSchema", "true").parquet(f"{job.out}/events")
+    return spark.read.parquet(f"{job.out}/events")
