@@ -121,11 +121,15 @@ def take_snapshot(spark: SparkSession, job: Capture, log: DataFrame, start: Offs
 
 def batch_writer(job: Capture, first: Offset) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function of a run that begins at the offset ``first``."""
+    stored: dict[int, Offset] = {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         number = first.batch + batch_id + 1
-        previous = load_offset(spark, job.state, first.run, number - 1)
+        # What this process stored last need not be read back; after a restart it is.
+        previous = stored.get(number - 1) or load_offset(spark, job.state, first.run, number - 1)
+        if previous is None:
+            raise RuntimeError(f"no offset is stored for batch {number - 1} of run {first.run}")
         log = begin_at(batch, first.vector)
         ahead = advance(drop_markers(log), replace(previous, snapshot=False, completed=True, batch=number))
         events = cdc_events(
@@ -145,6 +149,8 @@ def batch_writer(job: Capture, first: Offset) -> Callable[[DataFrame, int], None
         if job.config.heartbeat_interval_ms > 0:
             _heartbeat(spark, job, ahead.offset)
         save_offset(spark, job.state, ahead.offset)
+        stored.clear()
+        stored[number] = ahead.offset
 
     return write
 

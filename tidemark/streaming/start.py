@@ -135,8 +135,9 @@ def load_offset(spark: SparkSession, state: str, run: int | None = None, batch:
     schema = STORED if exact else STORED + ", run int, batch int"
     rows = spark.read.schema(schema).parquet(path)
     if exact:
-        rows = rows.withColumns({"run": F.lit(run), "batch": F.lit(batch)})
-    newest = rows.orderBy(F.desc("run"), F.desc("batch")).limit(1)
+        newest = rows.withColumns({"run": F.lit(run), "batch": F.lit(batch)})
+    else:
+        newest = rows.orderBy(F.desc("run"), F.desc("batch")).limit(1)
     found = newest.select(loaded_offset(F.struct("*")).alias("o"), "run", "batch").first()
     if found is None:
         return None
