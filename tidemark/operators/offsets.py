@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.offsets import parse_offsets, to_hex
+from ..functions.offsets import to_hex
 from ..logschema import SEQ
 
 # Arrival numbers per bucket, and buckets per block. A block spans 2^28 arrival
@@ -273,16 +273,21 @@ def begin_at(
         return df.where(own.isNull() | (F.col(offset) > own))
 
     def literal(text: str) -> Column:
-        return F.lit(bytes.fromhex(text) if is_binary else text.lower())
+        # An odd digit is the low half of its byte, as in unhex.
+        return F.lit(bytes.fromhex(text.zfill(len(text) + len(text) % 2)) if is_binary else text.lower())
 
     known = [o for o in offsets if o is not None]
     if not known:
         return df
     if len(offsets) > WIDE_VECTOR:
-        own = F.get(F.array(*[F.lit(None).cast(df.schema[offset].dataType) if o is None else literal(o) for o in offsets]), F.col(partition))
+        kind = df.schema[offset].dataType
+        own = F.get(F.array(*[F.lit(None).cast(kind) if o is None else literal(o) for o in offsets]), F.col(partition))
         after = own.isNull() | (F.col(offset) > own)
-        # No offset before the smallest one can pass; this part reaches the scan.
-        return df.where(after) if len(known) < len(offsets) else df.where((F.col(partition) >= len(offsets)) | (F.col(offset) > literal(min(k.lower() for k in known)))).where(after)
+        if len(known) == len(offsets):
+            # No record of these partitions can pass below the smallest offset; this part reaches the scan.
+            least = literal(min(o.lower() for o in known))
+            after = ((F.col(partition) >= len(offsets)) | (F.col(offset) > least)) & after
+        return df.where(after)
     after_own = [
         (F.col(partition) == i) & (F.col(offset) > literal(o)) for i, o in enumerate(offsets) if o is not None
     ]
@@ -291,8 +296,3 @@ def begin_at(
         after_own.append(F.col(partition).isin(unbounded))
     after_own.append(F.col(partition) >= len(offsets))
     return df.where(reduce(lambda a, b: a | b, after_own))
-
-
-def parse_vector(df: DataFrame, text: str, out: str = "offsets") -> DataFrame:
-    """A stored vector's text column as an array column."""
-    return df.withColumn(out, parse_offsets(text))

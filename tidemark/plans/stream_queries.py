@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
+from dataclasses import dataclass, replace
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.offsets import format_offsets
@@ -14,9 +15,9 @@ from ..sources.changelog import change_stream
 from ..streaming.runner import Capture, read_events, run_cdc
 from ..streaming.table import compact_state, read_state, write_state_batch
 from . import fixtures as fx
-from .event_queries import E, START, V, _BOUND, _STARTED, flat_events, ts
+from .event_queries import E, START, V, _BOUND, _STARTED, ts
 from .fixtures import EVENTS_CONFIG, EVENTS_TABLE
-from .registry import ORACLES, query
+from .registry import query
 from .snapshot_queries import CUSTOMER_TABLE, S, SNAP_SLOTS, TS_BASE
 
 CHUNKS = 3
@@ -147,33 +148,24 @@ def stream_current_state_query(spark, sf_dir):
     return read_state(spark, f"{root}/table").select("key.user_id", "seq", "op", "after.event_type", "after.value")
 
 
+@dataclass(frozen=True)
+class Interrupted(Capture):
+    """A job whose second batch dies after its events were written, before its offset is stored."""
+
+    def write(self, events: DataFrame, run: int, batch: int) -> None:
+        super().write(events, run, batch)
+        if batch == 2:
+            raise RuntimeError("lost after the write")
+
+
 @query("stream_retry", V + RECORDS_SQL)
 def stream_retry_query(spark, sf_dir):
-    """A batch that failed after its events were written runs again and leaves no duplicate."""
-    from ..streaming import runner
-
     job, log = _job(spark, "stream-retry")
     stage_log(spark, fx.events_changelog(spark, sf_dir), log, range(CHUNKS))
-    changes = change_stream(spark, log, EVENTS_TABLE, max_files=1)
-    original = runner.batch_writer
-
-    def failing(target: Capture, first):
-        write = original(target, first)
-
-        def once(batch: DataFrame, batch_id: int) -> None:
-            write(batch, batch_id)
-            if batch_id == 1:
-                raise RuntimeError("lost after the write")
-
-        return once
-
-    runner.batch_writer = failing
     try:
-        run_cdc(spark, job, changes).awaitTermination()
-    except Exception as problem:
+        _drain(spark, Interrupted(job.config, job.table, job.out, job.state, ts_ms=job.ts_ms), log)
+    except StreamingQueryException as problem:
         if "lost after the write" not in str(problem):
             raise
-    finally:
-        runner.batch_writer = original
     _drain(spark, job, log)
     return _records(read_events(spark, job))
