@@ -19,7 +19,7 @@ def duck():
     con.close()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
     sql = entry.oracle_sql()[name]
     assert difference(spark, duck, entry.queries()[name], sql, SF_DIR) is None
