@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .pieces import encode_pieces
+from .quality import classify, fit_quality, fold
 from .registry import query
 
 
@@ -38,3 +39,12 @@ def op9_piece_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every whole document, as digests; ``span_bytes`` is how far the source spans reach."""
     docs = table(spark, sf_dir, "documents")
     return piece_digests(encode_pieces(docs, vocabulary("piece_bpe_32k.model"), decoded=True))
+
+
+@query("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by trees that saw no label of a held-out row."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"), lambda i: fold(i.cast("string"), 4) != 2)
+    held_out = (fold("doc_id", 4) == 2).alias("held_out")
+    return classify(docs.select("doc_id", "text"), model).select("doc_id", held_out, "score", "predicted")
