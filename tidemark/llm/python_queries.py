@@ -9,6 +9,8 @@ from .common import table
 from .pieces import encode_pieces
 from .quality import classify, fit_quality, fold
 from .registry import query
+from .repetition import repetition
+from .toxicity import fit_lexicon, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -48,3 +50,18 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_quality(docs, table(spark, sf_dir, "labels"), lambda i: fold(i.cast("string"), 4) != 2)
     held_out = (fold("doc_id", 4) == 2).alias("held_out")
     return classify(docs.select("doc_id", "text"), model).select("doc_id", held_out, "score", "predicted")
+
+
+@query("op3_repetition")
+def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every whole document and the verdict on its repeats."""
+    return repetition(table(spark, sf_dir, "documents"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a lexicon that saw no label of a held-out row."""
+    docs = table(spark, sf_dir, "documents")
+    lexicon = fit_lexicon(docs, table(spark, sf_dir, "labels"), lambda i: fold(i.cast("string"), 5) != 0)
+    held_out = (fold("doc_id", 5) == 0).alias("held_out")
+    return toxicity(docs.select("doc_id", "text"), lexicon).select("doc_id", held_out, "score", "predicted")
