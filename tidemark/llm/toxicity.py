@@ -30,7 +30,7 @@ SHORTEST, LONGEST = 3, 9
 # Toxic documents an entry must occur in: this many, and this share of those in the sample.
 LEAST, LEAST_SHARE = 4, 0.004
 # Log odds an entry must reach.
-LEAST_ODDS = 2.0
+LEAST_ODDS = 3.5
 # Clean documents, and no toxic one, in which a phrase must make an entry harmless.
 LEAST_EXCEPTION = 3
 
@@ -91,11 +91,12 @@ def _phrases(lexicon: Lexicon) -> Callable[[str], set[str]]:
 
 
 def sums(lexicon: Lexicon, texts: Sequence[str]) -> np.ndarray:
-    """Per text: the log of the summed weights, and of that sum per thousand words."""
+    """Per text: the log of the summed weights, and of that sum per thousand words; a repeated entry adds ever less."""
     out = np.zeros((len(texts), 2))
     for i, text in enumerate(texts):
         folded = fold_text(text)
-        total = sum(lexicon.weights[entry] for _, _, entry in lexicon.hits(folded))
+        found = Counter(entry for _, _, entry in lexicon.hits(folded))
+        total = sum(lexicon.weights[entry] * (1 + np.log(n)) for entry, n in found.items())
         if total:
             out[i] = np.log1p(total), np.log1p(1000 * total / max(folded.count(" "), 1))
     return out
