@@ -10,6 +10,7 @@ from .pieces import encode_pieces
 from .quality import classify, fit_quality, fold
 from .registry import query
 from .repetition import repetition
+from .token_counts import token_counts
 from .toxicity import fit_lexicon, toxicity
 
 
@@ -65,3 +66,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = fit_lexicon(docs, table(spark, sf_dir, "labels"), lambda i: fold(i.cast("string"), 5) != 0)
     held_out = (fold("doc_id", 5) == 0).alias("held_out")
     return toxicity(docs.select("doc_id", "text"), lexicon).select("doc_id", held_out, "score", "predicted")
+
+
+@query("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each line of every whole document."""
+    import public_tokenizers
+
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
