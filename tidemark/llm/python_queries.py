@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .ngram_join import jaccard_components
 from .pieces import encode_pieces
 from .quality import classify, fit_quality, fold
 from .registry import query
@@ -74,3 +75,9 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op6_ngram_join")
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under links of 4-word shingles at a similarity of 0.85."""
+    return jaccard_components(table(spark, sf_dir, "documents"))
