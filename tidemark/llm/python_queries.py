@@ -11,6 +11,7 @@ from .pieces import encode_pieces
 from .quality import classify, fit_quality, fold
 from .registry import query
 from .repetition import repetition
+from .substring_dedup import substring_dedup
 from .token_counts import token_counts
 from .toxicity import fit_lexicon, toxicity
 
@@ -81,3 +82,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents under links of 4-word shingles at a similarity of 0.85."""
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op4_substring_dedup")
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of all documents without the bytes of repeated 400-byte strings."""
+    out = substring_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
