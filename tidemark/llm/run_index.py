@@ -31,8 +31,8 @@ def _join(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return symbols, left
 
 
-def _sorted_suffixes(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Suffixes by their first ``depth`` symbols at least, and ranks by the first 7, 14, 28, ... symbols."""
+def _sorted_suffixes(symbols: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Suffixes in order, and ranks by the first 7, 14, 28, ... symbols."""
     n = len(symbols)
     padded = np.zeros(n + PACKED, np.int64)
     padded[:n] = symbols
@@ -50,7 +50,7 @@ def _sorted_suffixes(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, list[
     levels = [rank.astype(np.int32)]
     tied = np.flatnonzero(~(first & np.append(first[1:], True)))
     size = PACKED
-    while len(tied) and size < depth:
+    while len(tied):
         at = order[tied]
         key = rank[at] * (n + 2) + rank[np.minimum(at + size, n)] + (at + size < n)
         by = np.argsort(key, kind="stable")
@@ -99,7 +99,7 @@ class RunIndex:
     def build(cls, strings: list[bytes]) -> RunIndex:
         symbols, left = _join(strings)
         n = len(symbols)
-        order, levels = _sorted_suffixes(symbols, max(map(len, strings), default=0) + 1)
+        order, levels = _sorted_suffixes(symbols)
         transform = symbols[order - 1]
         transform[order == 0] = 0
         begins = np.ones(n, bool)
