@@ -52,7 +52,8 @@ def _sorted_suffixes(symbols: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]
     size = PACKED
     while len(tied):
         at = order[tied]
-        key = rank[at] * (n + 2) + rank[np.minimum(at + size, n)] + (at + size < n)
+        # What has run past the end comes first, the shorter before the longer.
+        key = rank[at] * (2 * n + 2) + np.where(at + size < n, rank[np.minimum(at + size, n)] + n + 1, n - at)
         by = np.argsort(key, kind="stable")
         at, key = at[by], key[by]
         order[tied] = at
