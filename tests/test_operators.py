@@ -17,6 +17,8 @@ from tidemark.operators import metrics as om
 from tidemark.operators import sinks as os_
 from tidemark.operators import snapshot as osn
 from tidemark.operators import state as ost
+from tidemark.operators.offsets import begin_at
+from tidemark.operators.sinks import keyed_order
 from tidemark.plans.pipeline import cdc_events, cdc_records, rejected_records
 from tidemark.sources import catalog
 from tidemark.sources.changelog import parse_records
@@ -120,6 +122,58 @@ def test_failure_modes_of_the_pipeline(spark):
         assert [r["seq"] for r in rejected_records(log, table, config).collect()] == [1]
 
 
+def test_only_columns_that_stay_and_convert_here_are_judged(spark):
+    table = StructType([TABLE["a"], StructField("b", StringType(), True, {"type": "TIME"})])
+    log = make_log(spark, [("Insert", 0, 1, 1, "soon"), ("Insert", 0, 2, 2, "01:00:00")], table)
+    moment = F.lit(1).cast("bigint")
+    assert cdc_events(log, table, replace(CONFIG, column_exclude="db.t.b"), ts_ms=moment).count() == 2
+    hooks = Hooks(converters={r".*\.b": F.upper})
+    assert {r["after"]["b"] for r in cdc_events(log, table, CONFIG, ts_ms=moment, hooks=hooks).collect()} == {"SOON", "01:00:00"}
+
+
+@pytest.mark.parametrize(
+    ("kind", "good", "bad"), [("YEAR", "1999", "x"), ("INT", "7", "3000000000"), ("DECIMAL(4,1)", "1.5", "99999"), ("DATE", "2020-01-01", "soon")]
+)
+def test_failure_modes_of_plain_conversions(spark, kind, good, bad):
+    table = StructType([TABLE["a"], StructField("b", StringType(), True, {"type": kind})])
+    log = make_log(spark, [("Insert", 0, 1, 1, good), ("Insert", 0, 2, 2, bad), ("Update", 0, 1, 1, None)], table)
+    config = replace(CONFIG, failure_mode="warn")
+    events = cdc_events(log, table, config, ts_ms=F.lit(1).cast("bigint")).collect()
+    assert sorted(r["seq"] for r in events) == [0, 2]
+    assert [r["seq"] for r in rejected_records(log, table, config).collect()] == [1]
+    with pytest.raises(Exception, match="cannot convert the record at"):
+        cdc_events(log, table, CONFIG).collect()
+
+
+def test_masks_leave_raw_text_of_other_types_alone(spark):
+    table = StructType([TABLE["a"], StructField("b", StringType(), True, {"type": "TIME"})])
+    log = make_log(spark, [("Insert", 0, 1, 1, "01:00:00")], table)
+    config = replace(CONFIG, mask_chars={3: "db.t.b"})
+    assert cdc_events(log, table, config, ts_ms=F.lit(1).cast("bigint")).first()["after"]["b"] == 3600000
+
+
+def test_keyed_messages_are_in_order_within_one_task(spark):
+    rows = [("t", f"k{i % 7}", i, j == 1) for i in range(300) for j in (0, 1)]
+    frame = spark.createDataFrame(rows, "topic string, key string, seq long, is_tombstone boolean").repartition(5, "seq")
+    placed = keyed_order(frame).withColumn("task", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()).collect()
+    by_key = {}
+    for r in sorted(placed, key=lambda r: r["place"]):
+        by_key.setdefault(r["key"], []).append((r["task"], r["seq"], r["is_tombstone"]))
+    for own in by_key.values():
+        assert len({task for task, *_ in own}) == 1 and [o[1:] for o in own] == sorted(o[1:] for o in own)
+
+
+@pytest.mark.parametrize("width", [2, 65])
+def test_begin_at_keeps_unknown_partitions_at_any_width(spark, width):
+    rows = [(p, bytes([n])) for p in (None, -1, 0, 1, 99) for n in (1, 3)]
+    log = spark.createDataFrame(rows, "PartitionId int, Offset binary")
+    start = ["02"] * width
+    kept = sorted((str(r[0]), r[1][0]) for r in begin_at(log, start).collect())
+    frame = spark.createDataFrame([(start,)], "offsets array<string>")
+    assert kept == sorted((str(r[0]), r[1][0]) for r in begin_at(log, frame).collect())
+    assert kept == sorted([("None", 1), ("None", 3), ("-1", 1), ("-1", 3), ("0", 3), ("1", 3), ("99", 1), ("99", 3)])
+
+
 def test_failure_mode_operator(spark):
     rows = spark.createDataFrame([("1",), ("x",), (None,)], "t string")
     attempt = {"n": (F.col("t"), F.col("t").try_cast("int"))}

@@ -179,6 +179,17 @@ def test_offset_round_trip(spark, tmp_path, snapshot, completed):
     assert stored["offsets"] == "1,10,null,2" and stored["snapshot"] == (True if snapshot else None)
 
 
+def test_state_table_goes_on_after_a_new_checkpoint(spark, changes, tmp_path):
+    events = cdc_events(changes, TABLE, CONFIG, ts_ms=one()).select("key", "seq", "op", "after")
+    path = f"{tmp_path}/table"
+    for run, batch, low in ((0, 0, 0), (0, 1, 15), (1, 0, 30), (1, 1, 45)):
+        write_state_batch(events.where((F.col("seq") >= low) & (F.col("seq") < low + 15)), path, batch, run)
+        if batch == 1:
+            compact_state(spark, path)
+    found = sorted((r["key"]["a"], r["seq"]) for r in read_state(spark, path).collect())
+    assert found == sorted((r["key"]["a"], r["seq"]) for r in current_state(events).collect())
+
+
 def test_state_table(spark, changes, tmp_path):
     events = cdc_events(changes, TABLE, CONFIG, ts_ms=one()).select("key", "seq", "op", "after")
     path = f"{tmp_path}/table"

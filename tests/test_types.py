@@ -110,6 +110,18 @@ def test_durations(spark, text, micros):
     assert one(spark, ft.parse_duration(F.lit(text).cast("string"), strict=False)) == micros
 
 
+@pytest.mark.parametrize("name", ["TIME", "VECTOR(2, F32)"])
+def test_unreadable_defaults_raise(spark, name):
+    config = replace(CONFIG, vector_mode="array")
+    with pytest.raises(Exception, match="unexpected format|unreadable default"):
+        one(spark, fd.parse_default(F.lit("nonsense"), name, True, config))
+
+
+def test_unsigned_types_keep_their_numbers(spark):
+    raw = {n: raw_type(n).simpleString() for n in ("SMALLINT UNSIGNED", "INT UNSIGNED", "BIGINT UNSIGNED")}
+    assert list(raw.values()) == ["int", "bigint", "decimal(20,0)"]
+
+
 def test_bad_duration_raises(spark):
     with pytest.raises(Exception, match="unexpected format"):
         one(spark, ft.parse_duration(F.lit("nonsense")))

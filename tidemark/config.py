@@ -88,6 +88,7 @@ class CdcConfig:
     connector_name: str = "tidemark"
     connector_version: str = "0.1.0"
     bucket_rows: int = 1 << 18
+    poll_interval_ms: int = 500
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "snapshot_mode", parse_snapshot_mode(self.snapshot_mode))
@@ -120,6 +121,8 @@ class CdcConfig:
             yield f"skipped_operations holds unknown elements: {', '.join(unknown)}"
         if self.partitions < 1:
             yield "partitions must be at least 1"
+        if self.poll_interval_ms < 1:
+            yield "poll_interval_ms must be at least 1"
         if self.column_include and self.column_exclude:
             yield "column_include and column_exclude cannot both be set"
 
@@ -171,6 +174,9 @@ _OPTION_FIELDS = {
     "snapshot.mode": "snapshot_mode",
     "offsets": "offsets",
     "topic.delimiter": "topic_delimiter",
+    "topic.naming.strategy": "topic_strategy",
+    "database.partitions": "partitions",
+    "poll.interval.ms": "poll_interval_ms",
     "heartbeat.interval.ms": "heartbeat_interval_ms",
     "heartbeat.topics.prefix": "heartbeat_prefix",
     "notification.enabled.channels": "notification_channels",

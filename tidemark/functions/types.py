@@ -21,8 +21,10 @@ from .vector import ELEMENT_SPARK, VECTOR_TYPE, convert_vector
 
 # Base type names by the conversion they take.
 SMALLINTS = {"BOOL", "BOOLEAN", "TINYINT", "TINYINT UNSIGNED", "SMALLINT"}
-INTS = {"MEDIUMINT", "MEDIUMINT UNSIGNED", "INT", "INTEGER"}
-BIGINTS = {"BIGINT"}
+INTS = {"MEDIUMINT", "MEDIUMINT UNSIGNED", "INT", "INTEGER", "SMALLINT UNSIGNED"}
+# An unsigned type takes the next wider signed one; that of BIGINT UNSIGNED is a decimal.
+BIGINTS = {"BIGINT", "INT UNSIGNED", "INTEGER UNSIGNED"}
+WIDE_INTS = {"BIGINT UNSIGNED"}
 FLOATS = {"FLOAT", "FLOAT UNSIGNED"}
 DOUBLES = {"DOUBLE", "DOUBLE UNSIGNED", "REAL"}
 DECIMALS = {"DECIMAL", "DEC", "FIXED", "NUMERIC"}
@@ -113,15 +115,39 @@ def type_arguments(type_name: str) -> list[int]:
     return [int(n) for n in re.findall(r"\d+", inside[1])] if inside else []
 
 
+def _target(base: str, arguments: list[int], config: CdcConfig) -> str | None:
+    """The Spark type a plain conversion casts to; None for types with a conversion of their own."""
+    for types, target in ((SMALLINTS, "smallint"), (INTS, "int"), (BIGINTS, "bigint"), (FLOATS, "float"), (DOUBLES, "double")):
+        if base in types:
+            return target
+    if base in WIDE_INTS:
+        return "decimal(20,0)"
+    if base in DECIMALS:
+        precision, scale = (arguments + [10, 0][len(arguments) :])[:2]
+        fits = config.decimal_mode == "precise" and precision <= MAX_PRECISION
+        return f"decimal({precision},{scale})" if fits else "double" if config.decimal_mode == "double" else None
+    return {"YEAR": "int", "DATE": "date"}.get(base, "timestamp" if base in TIMESTAMPS else None)
+
+
 def readable(field: StructField, config: CdcConfig) -> Column | None:
-    """Whether a column's text can be converted; None for types whose values always can."""
-    base = base_type_name(field.metadata.get("type", ""))
-    text = F.col(field.name)
-    if base == "TIME" and field.dataType.typeName() == "string":
-        return text.isNull() | text.rlike(DURATION)
+    """Whether a column's value can be converted; None for types whose values always can."""
+    name = field.metadata.get("type", "")
+    base = base_type_name(name)
+    raw = field.dataType.simpleString()
+    value = F.col(field.name)
+    if base == "TIME" and raw == "string":
+        return value.isNull() | value.rlike(DURATION)
     if base in GEOGRAPHIES and config.geography_mode == "geometry":
-        return text.isNull() | geography_shape(text).isNotNull()
-    return None
+        return value.isNull() | geography_shape(value).isNotNull()
+    if base == "VECTOR" and raw.startswith("array") and config.vector_mode == "binary":
+        return value.isNull() | ~F.exists(value, lambda x: x.isNull())
+    target = _target(base, type_arguments(name), config)
+    # A raw column of the target's own type, or of a narrower whole number, always converts.
+    whole = ["tinyint", "smallint", "int", "bigint"]
+    safe = raw == target or (raw in whole and target in whole and whole.index(raw) <= whole.index(target))
+    if target is None or safe or raw in ("date", "timestamp") or (raw in ("float", "double") and target in ("float", "double")):
+        return None
+    return value.isNull() | value.try_cast(target).isNotNull()
 
 
 def convert_column(field: StructField, config: CdcConfig, c: Column | None = None) -> Column:
@@ -139,6 +165,8 @@ def convert_column(field: StructField, config: CdcConfig, c: Column | None = Non
         out = to_int(value)
     elif base in BIGINTS:
         out = value.cast("bigint")
+    elif base in WIDE_INTS:
+        out = value.cast("decimal(20,0)")
     elif base in FLOATS:
         out = to_float(value)
     elif base in DOUBLES:

@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructType
 
 from ..config import CdcConfig, split_list
 from ..functions.masks import mask_chars, mask_hash, truncate_chars
-from ..functions.types import base_type_name
+from ..functions.types import TEXTS, base_type_name
 from ..logschema import table_columns
 
 
@@ -50,7 +50,12 @@ def select_columns(
 def masked(config: CdcConfig, table: StructType) -> dict[str, Column]:
     """The masking expression of every text column that has one. Other types have nothing to mask."""
     prefix = f"{config.db}.{config.table}"
-    names = [f.name for f in table.fields if isinstance(f.dataType, StringType)]
+    # By source type: times, geographies and wide decimals are raw text too, but no text columns.
+    names = [
+        f.name
+        for f in table.fields
+        if isinstance(f.dataType, StringType) and ("type" not in f.metadata or base_type_name(f.metadata["type"]) in TEXTS)
+    ]
     out: dict[str, Column] = {}
     for length, patterns in config.truncate.items():
         for name in matching(names, patterns, prefix):

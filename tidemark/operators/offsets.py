@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.offsets import to_hex
@@ -14,8 +12,6 @@ from ..logschema import SEQ
 BUCKET_ROWS = 1 << 18
 FANOUT = 1 << 10
 LEVELS = 2
-# Beyond this many partitions a start vector is compared as one array, not as one term each.
-WIDE_VECTOR = 64
 
 
 def _slot(i: int) -> str:
@@ -261,6 +257,8 @@ def begin_at(
 ) -> DataFrame:
     """Records strictly after the given offset of their own partition; null means from the beginning.
 
+    Records whose partition is null, negative or beyond the vector are kept, whatever its width.
+
     A list becomes comparisons against literals, which parquet can use to skip
     row groups. A one-row frame with an ``offsets`` array, as :func:`last_vector`
     gives, is computed first and compared as one value of bounded size; the
@@ -276,23 +274,18 @@ def begin_at(
         # An odd digit is the low half of its byte, as in unhex.
         return F.lit(bytes.fromhex(text.zfill(len(text) + len(text) % 2)) if is_binary else text.lower())
 
-    known = [o for o in offsets if o is not None]
+    known = [(i, o) for i, o in enumerate(offsets) if o is not None]
     if not known:
         return df
-    if len(offsets) > WIDE_VECTOR:
-        kind = df.schema[offset].dataType
-        own = F.get(F.array(*[F.lit(None).cast(kind) if o is None else literal(o) for o in offsets]), F.col(partition))
-        after = own.isNull() | (F.col(offset) > own)
-        if len(known) == len(offsets):
-            # No record of these partitions can pass below the smallest offset; this part reaches the scan.
-            least = literal(min(o.lower() for o in known))
-            after = ((F.col(partition) >= len(offsets)) | (F.col(offset) > least)) & after
-        return df.where(after)
-    after_own = [
-        (F.col(partition) == i) & (F.col(offset) > literal(o)) for i, o in enumerate(offsets) if o is not None
-    ]
-    unbounded = [i for i, o in enumerate(offsets) if o is None]
-    if unbounded:
-        after_own.append(F.col(partition).isin(unbounded))
-    after_own.append(F.col(partition) >= len(offsets))
-    return df.where(reduce(lambda a, b: a | b, after_own))
+    own = F.col(partition)
+    # A partition without a start offset is read from its beginning; one that is unknown is kept for the strict checks.
+    free = [i for i, o in enumerate(offsets) if o is None]
+    kept = [own.isNull(), own < 0, own >= len(offsets), *([own.isin(free)] if free else [])]
+    return df.where(_any(kept + [(own == i) & (F.col(offset) > literal(o)) for i, o in known]))
+
+
+def _any(terms: list[Column]) -> Column:
+    """One condition of many, as a balanced tree: a chain of hundreds of terms would nest as deep."""
+    while len(terms) > 1:
+        terms = [a | b for a, b in zip(terms[::2], terms[1::2])] + terms[len(terms) - len(terms) % 2 :]
+    return terms[0]

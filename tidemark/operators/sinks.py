@@ -138,6 +138,12 @@ def to_messages(df: DataFrame, name: str = "", table: StructType | None = None)
     )
 
 
+def keyed_order(messages: DataFrame) -> DataFrame:
+    """Messages with each key of a topic in one task, in ``(seq, is_tombstone)`` order, as a keyed log must get them."""
+    dealt = messages.repartition("topic", "key")
+    return dealt.sortWithinPartitions(*[c for c in ("seq", "is_tombstone") if c in messages.columns])
+
+
 def write_events(
     df: DataFrame,
     path: str | None = None,
@@ -154,11 +160,11 @@ def write_events(
     partitions by ``seq`` first, so that files also follow each other, and
     splits a topic of any size over many tasks.
     """
+    if kafka is not None:
+        messages = df if dict(df.dtypes).get("value") == "string" else to_messages(df)
+        keyed_order(messages).select("topic", "key", "value").write.format("kafka").options(**kafka).save()
+        return
     order = [c for c in ("topic", "seq", "is_tombstone") if c in df.columns]
     out = df.repartitionByRange(*order) if total_order else df
     out = out.sortWithinPartitions(*order)
-    if kafka is not None:
-        messages = out if dict(out.dtypes).get("value") == "string" else to_messages(out)
-        messages.select("topic", "key", "value").write.format("kafka").options(**kafka).save()
-        return
     out.write.mode(mode).partitionBy("topic").format(fmt).save(path)

@@ -144,10 +144,10 @@ def event_key_internal_id_query(spark, sf_dir):
     E
     + """SELECT seq, iid AS key_id, iid AS after_id, 6 AS n_fields,
       '{"user_id":' || user_id || ',"event_type":"' || event_type || '","internalId":"' || iid || '"}' AS tail
-      FROM ev WHERE op <> 'd'""",
+      FROM ev""",
 )
 def populate_internal_id_query(spark, sf_dir):
-    rows = oe.event_key(event_rows(spark, sf_dir)).where("op <> 'd'")
+    rows = oe.event_key(event_rows(spark, sf_dir))
     rows = oe.with_internal_id(rows.withColumn("after", F.struct(*EVENTS_TABLE.names)), populate=True)
     return rows.select(
         "seq",
@@ -622,11 +622,16 @@ def drop_empty_query(spark, sf_dir):
     return oe.drop_empty(events_of(spark, sf_dir), enabled=True).select("seq", "op")
 
 
-@query("custom_hooks", E + "SELECT seq, 'all_events' AS topic, upper(event_type) AS event_type, 'extra' AS tag FROM ev WHERE op = 'c'")
+@query(
+    "custom_hooks",
+    E
+    + """SELECT seq, 'all_events_' || op AS topic, CASE WHEN op <> 'd' THEN upper(event_type) END AS event_type, 'extra' AS tag
+      FROM ev""",
+)
 def custom_hooks_query(spark, sf_dir):
     hooks = Hooks(
         converters={r".*\.event_type": F.upper},
-        post_processors=[lambda df: df.where("op = 'c'")],
+        post_processors=[lambda df: df.withColumn("topic", F.concat_ws("_", "topic", "op"))],
         topic=lambda config: F.lit("all_events"),
         source=lambda s: s.withField("tag", F.lit("extra")),
     )

@@ -48,20 +48,33 @@ def row_columns(table: StructType, config: CdcConfig, hooks: Hooks) -> list[Colu
     return columns
 
 
-def readable_row(table: StructType, config: CdcConfig) -> Column | None:
-    """Whether all of a record's columns can be converted; None when every record's can."""
-    checks = [c for c in (readable(f, config) for f in table.fields) if c is not None]
+def readable_row(table: StructType, config: CdcConfig, hooks: Hooks | None = None) -> Column | None:
+    """Whether a record's columns can be converted; None when every record's can.
+
+    Judged are the key's columns, and the columns that stay in the row and take the
+    built-in conversion; an excluded, masked or custom-converted one is not.
+    """
+    hooks = hooks or Hooks()
+    masks = masked(config, table)
+    keep = selected_columns(table.names, config.column_include, config.column_exclude, config.db, config.table)
+    built_in = {c for c in keep if c not in masks and not hooks.converter_for(c, config)}
+    judged = built_in | set(primary_key(table) or ())
+    checks = [c for c in (readable(f, config) for f in table.fields if f.name in judged) if c is not None]
     return reduce(lambda a, b: a & b, checks) if checks else None
 
 
-def rejected_records(log: DataFrame, table: StructType, config: CdcConfig) -> DataFrame:
+def rejected_records(
+    log: DataFrame, table: StructType, config: CdcConfig, *, snapshot: bool = False, hooks: Hooks | None = None
+) -> DataFrame:
     """Raw records that the failure modes ``warn`` and ``ignore`` skip."""
-    good = readable_row(table, config)
-    return drop_markers(log).where(~good) if good is not None else log.limit(0)
+    good = readable_row(table, config, hooks)
+    if good is None:
+        return log.limit(0)
+    return (snapshot_rows(log, config.partitions) if snapshot else drop_markers(log)).where(~good)
 
 
-def _apply_failure_mode(rows: DataFrame, table: StructType, config: CdcConfig) -> DataFrame:
-    good = readable_row(table, config)
+def _apply_failure_mode(rows: DataFrame, table: StructType, config: CdcConfig, hooks: Hooks) -> DataFrame:
+    good = readable_row(table, config, hooks)
     if good is None:
         return rows
     if config.failure_mode == "fail":
@@ -92,7 +105,7 @@ def cdc_events(
     moment = ts_ms if ts_ms is not None else processing_time()
     rows = mark_first(snapshot_rows(log, config.partitions)) if snapshot else drop_markers(log)
     rows = with_offset_vector(rows, config.partitions, start, span=span, bucket_rows=config.bucket_rows)
-    rows = map_op(_apply_failure_mode(rows, table, config), snapshot)
+    rows = map_op(_apply_failure_mode(rows, table, config, hooks), snapshot)
     rows = rows if snapshot else skip_operations(rows, config.skipped_operations)
     source = source_struct(config, ts_ms=moment, snapshot=F.col("snapshot") if snapshot else "false", strict=True)
     if hooks.source:

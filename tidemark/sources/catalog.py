@@ -15,6 +15,7 @@ from ..functions.types import (
     MAX_PRECISION,
     SMALLINTS,
     TIMESTAMPS,
+    WIDE_INTS,
     base_type_name,
     type_arguments,
     vector_element,
@@ -31,6 +32,8 @@ def raw_type(type_name: str) -> DataType:
         ddl = "int"
     elif base in BIGINTS:
         ddl = "bigint"
+    elif base in WIDE_INTS:
+        ddl = "decimal(20,0)"
     elif base in FLOATS:
         ddl = "float"
     elif base in DOUBLES:

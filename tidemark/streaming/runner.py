@@ -23,6 +23,7 @@ from ..operators.sinks import to_messages, write_events
 from ..operators.snapshot import snapshot_complete, snapshot_notifications, snapshot_rows
 from ..plans.pipeline import cdc_events, cdc_records, rejected_records
 from .start import Offset, StartPlan, load_offset, plan_start, save_offset
+from .table import write_state_batch
 
 
 @dataclass(frozen=True)
@@ -30,7 +31,8 @@ class Capture:
     """A capture job: one table's logs, and the folders for events and for state.
 
     With ``kafka`` options, events also go to their topics; a repeated batch
-    sends them again there, as that sink cannot take a batch back.
+    sends them again there, as that sink cannot take a batch back. ``live`` is the
+    folder of a current-state table that the job keeps (see ``streaming.table``).
     """
 
     config: CdcConfig
@@ -40,10 +42,13 @@ class Capture:
     hooks: Hooks = field(default_factory=Hooks)
     ts_ms: Column | None = None
     kafka: dict[str, str] | None = None
+    live: str | None = None
 
     def write(self, events: DataFrame, run: int, batch: int) -> None:
         folder = self.folder("events", run, batch)
         write_events(cdc_records(events, self.config), folder)
+        if self.live is not None:
+            write_state_batch(events, self.live, batch, run)
         if self.kafka is not None:
             written = events.sparkSession.read.parquet(folder)
             name = f"{self.config.topic_prefix}.{self.config.db}.{self.config.table}"
@@ -86,6 +91,11 @@ def _heartbeat(spark: SparkSession, job: Capture, offset: Offset) -> None:
     ).coalesce(1).write.mode("overwrite").parquet(job.folder("heartbeats", offset.run, offset.batch))
 
 
+def _write_rejects(job: Capture, log: DataFrame, run: int, batch: int, snapshot: bool = False) -> None:
+    bad = rejected_records(log, job.table, job.config, snapshot=snapshot, hooks=job.hooks)
+    bad.write.mode("overwrite").parquet(job.folder("rejects", run, batch))
+
+
 def take_snapshot(spark: SparkSession, job: Capture, log: DataFrame, start: Offset) -> Offset:
     """Writes the snapshot's events and stores the offset they end at.
 
@@ -108,6 +118,8 @@ def take_snapshot(spark: SparkSession, job: Capture, log: DataFrame, start: Offs
         hooks=job.hooks,
     )
     job.write(events, start.run, start.batch)
+    if config.failure_mode == "warn":
+        _write_rejects(job, log, start.run, start.batch, snapshot=True)
     if config.notification_channels:
         moment = job.ts_ms if job.ts_ms is not None else F.unix_millis(F.current_timestamp())
         snapshot_notifications(
@@ -143,9 +155,7 @@ def batch_writer(job: Capture, first: Offset) -> Callable[[DataFrame, int], None
         )
         job.write(events, first.run, number)
         if job.config.failure_mode == "warn":
-            rejected_records(log, job.table, job.config).write.mode("overwrite").parquet(
-                job.folder("rejects", first.run, number)
-            )
+            _write_rejects(job, log, first.run, number)
         if job.config.heartbeat_interval_ms > 0:
             _heartbeat(spark, job, ahead.offset)
         save_offset(spark, job.state, ahead.offset)
@@ -164,7 +174,7 @@ def run_cdc(
     tails: DataFrame | None = None,
     oldest: DataFrame | None = None,
     available_now: bool = True,
-    poll: str = "500 milliseconds",
+    poll: str | None = None,
 ) -> StreamingQuery | None:
     """Starts or resumes a job. None when the mode does not stream.
 
@@ -193,7 +203,7 @@ def run_cdc(
     writer = changes.writeStream.foreachBatch(batch_writer(job, first)).option(
         "checkpointLocation", f"{job.state}/checkpoint/run={first.run}"
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=poll)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=poll or f"{job.config.poll_interval_ms} milliseconds")
     return writer.start()
 
 

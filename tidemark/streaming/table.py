@@ -21,23 +21,31 @@ def _parts(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def write_state_batch(events: DataFrame, path: str, batch_id: int) -> None:
+def write_state_batch(events: DataFrame, path: str, batch_id: int, run: int = 0) -> None:
     """Stores the last event per key of one batch; a repeated batch replaces itself.
 
-    ``events`` has ``key, seq, op, after``.
+    ``events`` has ``key, seq, op, after``. Batch numbers start again with a new
+    checkpoint, so a batch is named by its run too; later runs have larger numbers.
     """
-    latest_per_key(events).write.mode("overwrite").parquet(f"{path}/delta/batch={batch_id}")
+    latest_per_key(events).write.mode("overwrite").parquet(f"{path}/delta/run={run}/batch={batch_id}")
 
 
-def _live(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
+def _newest(frame: DataFrame | None, run: str, batch: str) -> tuple[int, int] | None:
+    found = None if frame is None else frame.agg(F.max(F.struct(run, batch)).alias("m")).first()["m"]
+    return None if found is None else (found[run], found[batch])
+
+
+def _live(spark: SparkSession, path: str) -> tuple[DataFrame | None, tuple[int, int] | None]:
     base, delta = _parts(spark, f"{path}/base"), _parts(spark, f"{path}/delta")
-    upto = base.agg(F.max("upto")).first()[0] if base is not None else None
-    upto = -1 if upto is None else upto
+    upto = _newest(base, "upto_run", "upto_batch")
     frames = []
-    if base is not None:
-        frames.append(base.where(F.col("upto") == upto).drop("upto"))
+    if base is not None and upto is not None:
+        own = (F.col("upto_run") == upto[0]) & (F.col("upto_batch") == upto[1])
+        frames.append(base.where(own).drop("upto_run", "upto_batch"))
     if delta is not None:
-        frames.append(delta.where(F.col("batch") > upto).drop("batch"))
+        if upto is not None:
+            delta = delta.where((F.col("run") > upto[0]) | ((F.col("run") == upto[0]) & (F.col("batch") > upto[1])))
+        frames.append(delta.drop("run", "batch"))
     if not frames:
         return None, upto
     return (frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])), upto
@@ -51,12 +59,8 @@ def read_state(spark: SparkSession, path: str) -> DataFrame | None:
 
 def compact_state(spark: SparkSession, path: str) -> None:
     """Folds the finished batches into a new base. Readers switch to it once it is whole."""
-    delta = _parts(spark, f"{path}/delta")
-    if delta is None:
-        return
-    newest = delta.agg(F.max("batch")).first()[0]
+    newest = _newest(_parts(spark, f"{path}/delta"), "run", "batch")
     rows, upto = _live(spark, path)
-    if newest is None or newest <= upto:
+    if newest is None or (upto is not None and newest <= upto):
         return
-    rows = rows if upto >= 0 else delta.where(F.col("batch") <= newest).drop("batch")
-    current_state(rows).write.mode("overwrite").parquet(f"{path}/base/upto={newest}")
+    current_state(rows).write.mode("overwrite").parquet(f"{path}/base/upto_run={newest[0]}/upto_batch={newest[1]}")
