@@ -16,17 +16,18 @@ between different components is found that way, so components are exact.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import map_batches, text_or_empty, written
+from .common import map_batches, pieces, text_or_empty, written
 from .components import components
-from .shingles import set_name, shingle_set
+from .shingles import compact, most_common, set_name, shingle_sets
 
 
 @dataclass(frozen=True)
@@ -36,8 +37,9 @@ class JoinParams:
 
     words: int = 4
     percent: int = 85
-    frequent: int = 48
-    most_frequent: int = 500_000
+    frequent: int = 8
+    most_frequent: int = 1_000_000
+    star_rounds: int = 2
     broadcast_classes: int = 500_000
 
 
@@ -48,19 +50,6 @@ def _least(size: Column | np.ndarray | int, percent: int):
     return (size * percent + 99) // 100
 
 
-def _prefix(values: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """The first shingles in the order: those not frequent by hash, then the frequent ones by hash."""
-    if not len(values):
-        return values
-    size = len(values) - _least(len(values), percent) + 1
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)
-        last = frequent[at] == values
-        if last.any():
-            values = np.concatenate([values[~last], values[last]])
-    return values[:size]
-
-
 # Bits of a shingle by which counting rows are told apart: shorter keys take less room, and a clash costs no link.
 KEY_BITS = 40
 
@@ -73,16 +62,51 @@ def _key_column(shingle: str) -> Column:
     return F.col(shingle).bitwiseAND(F.lit((1 << KEY_BITS) - 1))
 
 
-def _frequent(texts: DataFrame, params: JoinParams) -> np.ndarray:
-    """Keys of the most frequent shingles among all documents' first ones by hash, sorted."""
+def _prefix(values: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
+    """The first shingles in the order: by hash, but those with a frequent key (sorted) after all others."""
+    if not len(values):
+        return values
+    size = len(values) - _least(len(values), percent) + 1
+    if len(frequent):
+        keys = _key(values)
+        last = frequent[np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)] == keys
+        values = np.concatenate([values[~last], values[last]])
+    return values[:size]
 
-    def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        none = np.zeros(0, np.int64)
-        own = [_prefix(shingle_set(t, params.words), none, params.percent) for t in batch.column(0).cast(pa.binary()).to_pylist()]
-        keys, counts = np.unique(_key(np.concatenate(own)), return_counts=True) if own else (none, none)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts.astype(np.int32))], ["key", "n"])
 
-    partial = map_batches(texts.select("text"), step, "key long, n int", "text", 2 << 20)
+def _sets_of(batch: pa.RecordBatch, params: JoinParams) -> list[np.ndarray]:
+    return shingle_sets(batch.column("text").cast(pa.binary()).to_pylist(), params.words)
+
+
+# Bytes of text that a task hashes at once.
+SLICE = 512 << 10
+# Shingles that a task counts together; only those that repeat among them are sent on.
+CHUNK = 2_000_000
+
+
+def _frequent(texts: DataFrame, params: JoinParams) -> np.ndarray:
+    """Keys of the most frequent shingles, sorted: of those that repeat within a chunk of neighbouring documents, the ones
+    that do so most often over all documents. A shingle that a share of the documents has repeats in nearly every chunk."""
+
+    def repeated(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        again = counts > 1
+        return pa.RecordBatch.from_arrays([pa.array(keys[again]), pa.array(counts[again])], ["key", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+        for batch in batches:
+            for part in pieces(batch, "text", SLICE):
+                held += [_key(s) for s in _sets_of(part, params)]
+                size += sum(map(len, held[-part.num_rows :]))
+                if size >= CHUNK:
+                    yield repeated(held)
+                    held, size = [], 0
+        if held:
+            yield repeated(held)
+
+    partial = texts.select("text").mapInArrow(run, "key long, n long")
     counts = partial.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= params.frequent)
     top = counts.orderBy(F.desc("n"), "key").limit(params.most_frequent).select("key").toPandas()
     return np.sort(top["key"].to_numpy(np.int64))
@@ -92,12 +116,10 @@ def _classes(texts: DataFrame, keys: np.ndarray, params: JoinParams) -> DataFram
     """``id, name, n, prefix`` of every document; name is null without shingles."""
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        sets = [shingle_set(t, params.words) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        sets = _sets_of(batch, params)
         heads = []
         for values in sets:
-            # The order is by key: whether a shingle is frequent is a matter of its key alone.
-            last = np.isin(_key(values), keys) if len(keys) else np.zeros(len(values), bool)
-            heads.append(_prefix(values, values[last], params.percent))
+            heads.append(_prefix(values, keys, params.percent))
         offsets = pa.array(np.cumsum([0, *map(len, heads)]).astype(np.int32))
         prefix = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(heads) if heads else np.zeros(0, np.int64)))
         names = pa.array([set_name(s) if len(s) else None for s in sets], pa.int64())
@@ -105,55 +127,85 @@ def _classes(texts: DataFrame, keys: np.ndarray, params: JoinParams) -> DataFram
         yield pa.RecordBatch.from_arrays([batch.column("id"), names, sizes, prefix], ["id", "name", "n", "prefix"])
 
     kind = dict(texts.dtypes)["id"]
-    return written(map_batches(texts, step, f"id {kind}, name long, n int, prefix array<long>", "text", 2 << 20), "classes")
+    return written(map_batches(texts, step, f"id {kind}, name long, n int, prefix array<long>", "text", SLICE), "classes")
 
 
 def _incidence(classes: DataFrame) -> DataFrame:
     """``shingle, name, n, at``: shared entries of all prefixes, one for each class."""
-    entries = classes.where("n > 0").select("name", "n", F.posexplode("prefix").alias("at", "shingle"))
+    # Documents of one class fold here, before the shuffle: a group of copies does not make its shingles' lists long.
+    entries = classes.where("n > 0").select("name", "n", "prefix").distinct().select("name", "n", F.posexplode("prefix").alias("at", "shingle"))
     shared = entries.groupBy(_key_column("shingle").alias("key")).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("key")
-    rows = entries.withColumn("key", _key_column("shingle")).join(shared, "key", "left_semi")
-    return written(rows.groupBy("shingle", "name", "n", "at").agg(F.lit(1).alias("one")).drop("one"), "incidence")
-
+    rows = entries.withColumn("key", _key_column("shingle")).join(written(shared, "shared"), "key", "left_semi")
+    return written(rows.select("shingle", "name", "n", "at"), "incidence")
 
-def _star(rows: DataFrame, params: JoinParams) -> DataFrame:
-    """``a, b``: each class with one class of each list, where half of the shorter prefix agrees. As many pairs as rows at most."""
-    first = rows.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("name").alias("h"), "name", "n")).alias("p"))
-    pairs = rows.join(first, "shingle").where(F.col("name") != F.col("p.name"))
-    small, large = F.least("n", F.col("p.n")), F.greatest("n", F.col("p.n"))
-    pairs = pairs.where(small >= _least(large, params.percent))
-    counted = pairs.groupBy(F.col("p.name").alias("a"), F.col("name").alias("b"), small.alias("small")).agg(F.count(F.lit(1)).alias("same"))
-    return counted.where(2 * F.col("same") >= F.col("small") - _least(F.col("small"), params.percent) + 1).select("a", "b")
 
+def _labelled(rows: DataFrame, labels: DataFrame, params: JoinParams) -> DataFrame:
+    """The rows of lists that several components share, for only there are pairs left.
 
-def _product(rows: DataFrame, labels: DataFrame, params: JoinParams) -> DataFrame:
-    """``a, b``: pairs of different components whose overlap may reach the threshold.
-
-    A pair's overlap is at most the shared entries of the prefixes, and what
-    follows the last shared one in either set.
+    With the class's ``component``; ``before``, how many of its earlier entries are
+    left too (the others are in no set of another component whose prefix reaches as
+    far); and ``alone``, how many of its prefix are not left.
     """
-    labelled = rows.join(labels, rows["name"] == labels["node"], "left").select(
+    placed = rows.join(labels, rows["name"] == labels["node"], "left").select(
         "shingle", "name", "n", "at", F.coalesce("component", "name").alias("component")
     )
-    # Only lists that several components share have pairs left.
-    several = labelled.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    left = written(labelled.join(several.select("shingle"), "shingle", "left_semi"), "product")
-    right = left.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("name", "n", "at", "component")])
-    small, large = F.least("n", "n_b"), F.greatest("n", "n_b")
-    meet = (F.col("name") < F.col("name_b")) & (F.col("component") != F.col("component_b")) & (small >= _least(large, params.percent))
-    pairs = left.join(right, "shingle").where(meet)
+    several = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    # A written side lets adaptive execution split a long list, where an aggregate of the same partitioning would not.
+    left = placed.join(written(several.select("shingle"), "several"), "shingle", "left_semi")
+    own = Window.partitionBy("name")  # a class has as many rows as its prefix
+    left = left.withColumn("before", F.row_number().over(own.orderBy("at")) - 1)
+    left = left.withColumn("alone", F.col("n") - _least(F.col("n"), params.percent) + 1 - F.count(F.lit(1)).over(own))
+    return written(left, "lists")
+
+
+def _no_labels(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("name").alias("node"), F.col("name").alias("component")).limit(0)
+
+
+def _possible(n: Column, n_b: Column, most: Column, params: JoinParams) -> Column:
+    """Whether an overlap of at most ``most`` can reach the threshold: 100 * overlap >= percent * union."""
+    return (100 + params.percent) * most >= params.percent * (n + n_b)
+
+
+def _star(rows: DataFrame, params: JoinParams, step: int) -> DataFrame:
+    """``a, b`` and their sizes: each class with one class of another component in each list. As many pairs as rows at most.
+
+    That one is first the class that has least of its own, the likely source of a
+    group of copies, then another one by hash.
+    """
+    rank = F.lit(0) if step else F.col("alone")
+    first = F.min(F.struct(rank.alias("rank"), F.xxhash64("name", F.lit(step)).alias("h"), "name", "n", "at", "before", "component"))
+    chosen = written(rows.groupBy("shingle").agg(first.alias("p")), "star")
+    pairs = rows.join(chosen, "shingle").where(F.col("component") != F.col("p.component"))
+    n, n_b = F.col("p.n"), F.col("n")
+    most = F.least("before", "p.before") + F.least(n - F.col("p.at"), n_b - F.col("at"))
+    pairs = pairs.where(_possible(n, n_b, most, params))
+    return pairs.select(F.col("p.name").alias("a"), F.col("name").alias("b"), n.alias("n_a"), n_b.alias("n_b")).distinct()
+
+
+def _product(rows: DataFrame, params: JoinParams) -> DataFrame:
+    """``a, b`` and their sizes: pairs of different components whose overlap may reach the threshold.
+
+    Before a shared entry two sets have at most the entries left before it in
+    common, after it at most those that follow in either.
+    """
+    rows = rows.drop("alone")
+    right = rows.select("shingle", *[F.col(c).alias(f"{c}_b") for c in rows.columns if c != "shingle"])
+    n, n_b = F.col("n"), F.col("n_b")
+    after = F.least(n - F.col("at"), n_b - F.col("at_b"))
+    meet = (F.col("name") < F.col("name_b")) & (F.col("component") != F.col("component_b"))
+    pairs = rows.join(right, "shingle").where(meet & _possible(n, n_b, F.least("before", "before_b") + after, params))
     counted = pairs.groupBy(F.col("name").alias("a"), F.col("name_b").alias("b"), "n", "n_b").agg(
         F.count(F.lit(1)).alias("same"), F.max("at").alias("at"), F.max("at_b").alias("at_b")
     )
-    # 100 * overlap >= percent * union, with union = n + n_b - overlap.
-    most = F.col("same") + F.least(F.col("n") - F.col("at") - 1, F.col("n_b") - F.col("at_b") - 1)
-    return counted.where((100 + params.percent) * most >= params.percent * (F.col("n") + F.col("n_b"))).select("a", "b")
+    # Of all shared entries of the prefixes the last one leaves the least.
+    return counted.where(_possible(n, n_b, F.col("same") - 1 + after, params)).select("a", "b", n.alias("n_a"), "n_b")
 
 
-def _sets(texts: DataFrame, classes: DataFrame, pairs: DataFrame, params: JoinParams) -> DataFrame:
-    """``name, set``: the full sets of the classes in ``pairs``, from one document of each."""
+def _sets(texts: DataFrame, classes: DataFrame, pairs: DataFrame, params: JoinParams, as_bytes: Callable[[np.ndarray], bytes]) -> DataFrame:
+    """``name, set``: the sets of the classes in ``pairs``, from one document of each."""
     wanted = pairs.select(F.col("a").alias("name")).union(pairs.select(F.col("b").alias("name"))).distinct()
-    chosen = classes.select("name", "id").join(wanted, "name", "left_semi").groupBy("name").agg(F.min("id").alias("rep"))
+    chosen = classes.where("n > 0").groupBy("name").agg(F.min("id").alias("rep")).join(wanted, "name", "left_semi")
     chosen = written(chosen, "chosen")
     if chosen.count() <= params.broadcast_classes:
         chosen = F.broadcast(chosen)
@@ -161,34 +213,41 @@ def _sets(texts: DataFrame, classes: DataFrame, pairs: DataFrame, params: JoinPa
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         names = batch.column("name").to_pylist()
-        sets = [shingle_set(t, params.words) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        sets = _sets_of(batch, params)
         # Rows that repeat the id with another text are not the class's document.
         own = [i for i, s in enumerate(sets) if len(s) and set_name(s) == names[i]]
-        columns = [pa.array([names[i] for i in own], pa.int64()), pa.array([sets[i].tobytes() for i in own], pa.binary())]
+        columns = [pa.array([names[i] for i in own], pa.int64()), pa.array([as_bytes(sets[i]) for i in own], pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, ["name", "set"])
 
-    return map_batches(found, step, "name long, set binary", "text", 2 << 20)
+    return written(map_batches(found, step, "name long, set binary", "text", SLICE), "sets").dropDuplicates(["name"])
 
 
-def _links(pairs: DataFrame, texts: DataFrame, classes: DataFrame, params: JoinParams) -> DataFrame:
-    """The pairs whose full sets reach the threshold, with their overlap."""
-    pairs = written(pairs, "pairs")
-    sets = written(_sets(texts, classes, pairs, params), "sets")
-    both = pairs.join(sets.select(F.col("name").alias("a"), F.col("set").alias("set_a")), "a")
-    both = both.join(sets.select(F.col("name").alias("b"), F.col("set").alias("set_b")), "b")
+def _reach(
+    pairs: DataFrame, sets: DataFrame, params: JoinParams, overlap: Callable[[bytes, bytes], int]
+) -> DataFrame:
+    """The pairs whose overlap, as ``overlap`` has it, reaches the threshold."""
+    one = sets.select(F.col("name").alias("a"), F.col("set").alias("set_a"))
+    both = pairs.join(one, "a").join(sets.select(F.col("name").alias("b"), F.col("set").alias("set_b")), "b")
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        a, b = (batch.column(c).to_pylist() for c in ("set_a", "set_b"))
-        sizes = np.array([[len(x) // 8, len(y) // 8] for x, y in zip(a, b, strict=True)], np.int64).reshape(-1, 2)
-        same = np.array(
-            [len(np.intersect1d(np.frombuffer(x, np.int64), np.frombuffer(y, np.int64), assume_unique=True)) for x, y in zip(a, b, strict=True)],
-            np.int64,
-        )
-        good = np.flatnonzero(100 * same >= params.percent * (sizes.sum(axis=1) - same))
-        columns = [batch.column(c).take(pa.array(good)) for c in ("a", "b")] + [pa.array(same[good])]
-        yield pa.RecordBatch.from_arrays(columns, ["a", "b", "overlap"])
+        a, b, n_a, n_b = (batch.column(c).to_pylist() for c in ("set_a", "set_b", "n_a", "n_b"))
+        same = [overlap(x, y) for x, y in zip(a, b, strict=True)]
+        good = [i for i, s in enumerate(same) if 100 * s >= params.percent * (n_a[i] + n_b[i] - s)]
+        yield batch.select(["a", "b", "n_a", "n_b"]).take(pa.array(good, pa.int64()))
+
+    return map_batches(both.select("a", "b", "n_a", "n_b", "set_a", "set_b"), step, "a long, b long, n_a int, n_b int", "set_a", 8 << 20)
+
 
-    return map_batches(both.select("a", "b", "set_a", "set_b"), step, "a long, b long, overlap long")
+def _exact(a: bytes, b: bytes) -> int:
+    return len(np.intersect1d(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64), assume_unique=True))
+
+
+def _links(pairs: DataFrame, texts: DataFrame, classes: DataFrame, params: JoinParams) -> DataFrame:
+    """The pairs whose full sets reach the threshold: first by compacted sets, which never count too few, then exactly."""
+    pairs = written(pairs, "pairs")
+    likely = written(_reach(pairs, _sets(texts, classes, pairs, params, compact), params, most_common), "likely")
+    whole = _sets(texts, classes, likely, params, np.ndarray.tobytes)
+    return _reach(likely, whole, params, _exact).select("a", "b")
 
 
 def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -201,10 +260,12 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), id_co
     texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     classes = _classes(texts, _frequent(texts, params), params)
     rows = _incidence(classes)
-    links = written(_links(_star(rows, params), texts, classes, params), "links")
-    labels = components(links)
-    more = _links(_product(rows, labels, params), texts, classes, params)
-    links = written(links.union(more), "links")
+    links = None
+    for step in range(params.star_rounds + 1):
+        left = _labelled(rows, components(links) if links is not None else _no_labels(rows), params)
+        pairs = _star(left, params, step) if step < params.star_rounds else _product(left, params)
+        found = _links(pairs, texts, classes, params)
+        links = written(found if links is None else links.union(found), "links")
     labels = components(links)
     # Classes without links are their own components.
     own = classes.where("n > 0").groupBy("name").agg(F.min("id").alias("first"))
