@@ -58,7 +58,7 @@ def attribute(ends: np.ndarray, starts: np.ndarray, rule: str) -> tuple[np.ndarr
     last byte; ``most``: to the section that has most of its bytes, the earliest of
     equal ones.
     """
-    begins = np.concatenate([np.zeros(1, np.int64), ends[:-1]])
+    begins = np.append(np.zeros(1, np.int64), ends)[:-1]
     first = np.searchsorted(starts, begins, side="right") - 1
     last = np.searchsorted(starts, ends - 1, side="right") - 1
     crossing = first != last
