@@ -20,6 +20,8 @@ from tidemark.session import get_session  # noqa: E402
 HEADLINE = (
     "cdc_events",
     "offset_vector",
+    "offset_vector_64",
+    "offset_vector_256",
     "skip_operations",
     "tombstones",
     "messages_json",

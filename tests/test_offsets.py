@@ -59,6 +59,20 @@ def test_known_span_of_one_bucket_needs_no_carry(spark, rows, capsys):
     assert as_dict(oo.with_offset_vector(log, 5, span=(0, 2999))) == brute_force(rows, 5)
 
 
+@pytest.mark.parametrize("n, levels, bucket_rows, fanout", [(20, 2, 37, 3), (64, 1, 50, 100), (256, 2, 200, 4), (64, 2, 100_000, 4)])
+def test_wide_vector_equals_the_global_window(spark, n, levels, bucket_rows, fanout):
+    rng = random.Random(n)
+    places = [None, -1, n, *range(n)]
+    rows = [(s, rng.choice(places), s.to_bytes(3, "big", signed=True) if s % 11 else None) for s in rng.sample(range(-50, 3000), 500)]
+    log = spark.createDataFrame(rows, "seq long, PartitionId int, Offset binary")
+    start = [None if i % 3 else f"{i:04x}" for i in range(n)]
+    found = oo.with_offset_vector(log, n, start, levels=levels, bucket_rows=bucket_rows, fanout=fanout)
+    assert as_dict(found) == as_dict(oo.global_offset_vector(log, n, start))
+    span = (min(rows)[0], max(rows)[0])
+    assert as_dict(oo.with_offset_vector(log, n, start, span=span, bucket_rows=bucket_rows, fanout=fanout)) == as_dict(found)
+    assert found.columns == [*log.columns, "offsets"] and oo.with_offset_vector(log.limit(0), n).count() == 0
+
+
 def test_global_window_is_the_same(spark, rows):
     assert as_dict(oo.global_offset_vector(make_log(spark, rows), 5)) == brute_force(rows, 5)
 

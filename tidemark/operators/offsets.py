@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.offsets import to_hex
 from ..logschema import SEQ
+from .wide_vector import wide_vectors
 
 # Arrival numbers per bucket, and buckets per block. A block spans 2^28 arrival
 # numbers, so the one ordered list at the top has 4,000 entries per trillion records.
 BUCKET_ROWS = 1 << 18
 FANOUT = 1 << 10
 LEVELS = 2
+# Up to this many partitions each slot is a column with a running value; beyond, all slots are filled in one step.
+NARROW_VECTOR = 16
 
 
 def _slot(i: int) -> str:
@@ -143,6 +146,10 @@ def with_offset_vector(
         while fanout**needed < buckets:
             needed += 1
         levels = min(levels, needed)
+    if n > NARROW_VECTOR:
+        keyed = df.withColumn(_block(0), _div(F.col(seq), bucket_rows)).withColumn("__text", _as_text(df, offset))
+        filled = wide_vectors(keyed, "__text", n, start or [None] * n, out, _block(0), fanout, levels, seq, partition)
+        return filled.select(*names, out)
     is_binary = df.schema[offset].dataType.typeName() == "binary"
     upto = Window.partitionBy(_block(0)).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
     # Shuffled explicitly: the window's own shuffle would also carry one input column per slot.

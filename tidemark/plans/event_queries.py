@@ -361,6 +361,32 @@ def offset_vector_query(spark, sf_dir):
     )
 
 
+def _wide_sql(n: int) -> str:
+    slot = "coalesce(last_value(CASE WHEN user_id % {n} = {i} THEN off END IGNORE NULLS) OVER w, 'null')"
+    slots = ", ".join(slot.format(n=n, i=i) for i in range(n))
+    return (
+        E
+        + f"""SELECT seq, (user_id % {n})::INTEGER AS partition_id, md5(concat_ws(',', {slots})) AS offsets_md5
+      FROM ev WINDOW w AS (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+    )
+
+
+def _wide_vector(spark, sf_dir, n: int):
+    rows = event_rows(spark, sf_dir).withColumn("PartitionId", (F.col("user_id") % n).cast("int"))
+    placed = oo.with_offset_vector(rows, n, bucket_rows=EVENTS_CONFIG.bucket_rows)
+    return placed.select("seq", F.col("PartitionId").alias("partition_id"), F.md5(fo.format_offsets("offsets")).alias("offsets_md5"))
+
+
+@query("offset_vector_64", _wide_sql(64))
+def offset_vector_64_query(spark, sf_dir):
+    return _wide_vector(spark, sf_dir, 64)
+
+
+@query("offset_vector_256", _wide_sql(256))
+def offset_vector_256_query(spark, sf_dir):
+    return _wide_vector(spark, sf_dir, 256)
+
+
 _STARTED = ", ".join(
     f"coalesce(last_value(CASE WHEN pid = {i} THEN off END IGNORE NULLS) OVER w, {repr(o or 'null')})"
     for i, o in enumerate(START)
