@@ -59,12 +59,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise: Normalise = one_space) -> DataFrame:
     """The rows of ``docs`` that ``exact_dedup`` keeps, with their columns; of repeated rows one stays."""
-    groups = exact_groups(docs, id_col, text_col, normalise).select(
-        F.col("h").alias("__gh"), F.col("s").alias("__gs"), F.col("keep_id").alias("__gid")
-    )
+    groups = exact_groups(docs, id_col, text_col, normalise)
+    groups = groups.select("h", "s", F.coalesce("keep_id", F.lit(0)).alias("k"), F.col("keep_id").isNull().alias("z"))
+    groups = groups.withColumnsRenamed({c: f"__{c}" for c in "hskz"})
     text = normalise(text_or_empty(text_col))
-    keyed = docs.withColumns({"__h": F.unhex(F.md5(text)), "__s": F.unhex(F.sha2(text, 256)), "__keep": F.col(id_col)})
-    # Null ids compare equal here; the keys are nearly unique, so no group is large but that of one row repeated.
-    same = (F.col("__h") == F.col("__gh")) & (F.col("__s") == F.col("__gs")) & F.col("__keep").eqNullSafe(F.col("__gid"))
-    stay = keyed.join(groups, same, "left_semi")
-    return stay.dropDuplicates(["__h", "__s", "__keep"]).select(*docs.columns)
+    keys = {"__h": F.unhex(F.md5(text)), "__s": F.unhex(F.sha2(text, 256)), "__k": F.coalesce(id_col, F.lit(0)), "__z": F.col(id_col).isNull()}
+    # These keys are nearly unique, so no group is large but that of one row repeated, and one shuffle serves both steps.
+    stay = docs.withColumns(keys).join(groups, list(keys), "left_semi")
+    return stay.dropDuplicates(list(keys)).select(*docs.columns)
