@@ -8,11 +8,11 @@ tasks; scoring is one pass over the documents without a shuffle.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from operator import eq
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,13 +74,23 @@ def statistics(text: str) -> np.ndarray:
     )
 
 
-def matrix(texts: pd.Series) -> np.ndarray:
+def matrix(texts: Sequence[str]) -> np.ndarray:
     return np.stack([statistics(t) for t in texts]) if len(texts) else np.zeros((0, len(NAMES)))
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _statistics(texts: pd.Series) -> pd.Series:
-    return pd.Series(list(matrix(texts)), dtype=object)
+# Texts that are Python strings at the same time.
+SLICE = 256
+
+
+def _rows(texts: pa.Array) -> Iterator[np.ndarray]:
+    for at in range(0, len(texts), SLICE):
+        yield matrix(texts.slice(at, SLICE).to_pylist())
+
+
+@F.arrow_udf(T.ArrayType(T.DoubleType()))
+def _statistics(texts: pa.Array) -> pa.Array:
+    rows = np.concatenate([np.zeros((0, len(NAMES))), *_rows(texts)])
+    return pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), len(NAMES)).cast(pa.list_(pa.float64()))
 
 
 def fold(id_col: str | Column, folds: int) -> Column:
@@ -115,10 +125,9 @@ def fit_quality(
 def quality_score(model: FlatTrees) -> Callable[[Column], Column]:
     """A column function from text to the chance of label 1."""
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(model.score(matrix(texts)))
+    @F.arrow_udf(T.DoubleType())
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(np.concatenate([np.zeros(0), *[model.score(rows) for rows in _rows(texts)]]))
 
     return lambda text: score(text_or_empty(text))
 
