@@ -37,7 +37,7 @@ class JoinParams:
 
     words: int = 4
     percent: int = 85
-    frequent: int = 8
+    frequent: int = 4
     most_frequent: int = 1_000_000
     star_rounds: int = 2
     broadcast_classes: int = 500_000
