@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import segments
+from .anchors import gram_hashes, segments
 from .common import map_batches, text_or_empty, written
 from .run_index import long_matches
 
@@ -138,8 +138,41 @@ def _index_blocks(group_rows: DataFrame, params: SubstringParams) -> DataFrame:
     return dealt.select("name", "row", "content", "start", "bytes").mapInArrow(run, SPANS)
 
 
+# Windows of a segment that are looked at together before they are counted one by one.
+NEIGHBOURS = 32
+
+
+def _shared_blocks(hot: DataFrame, params: SubstringParams) -> DataFrame:
+    """``row, content, start, rows, bytes``: blocks of neighbouring windows whose common bytes occur twice at the same place
+    from the anchor. Equal windows are in such blocks; of the windows around a quoted passage few are."""
+
+    def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        names = ("row", "content", "name", "start", "rows", "bytes")
+        for row, content, name, start, rows, piece in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            grams = gram_hashes(np.frombuffer(piece, np.uint8)).view(np.int64)
+            anchor = int(np.flatnonzero(grams == name)[0])
+            last = len(piece) - params.window
+            for block in range((anchor - last) // NEIGHBOURS, anchor // NEIGHBOURS + 1):
+                # Windows that begin between these two places; both ends of their common bytes follow from the block.
+                low, high = max(anchor - (block + 1) * NEIGHBOURS + 1, 0), min(anchor - block * NEIGHBOURS, last)
+                core = anchor - block * NEIGHBOURS, anchor - (block + 1) * NEIGHBOURS + 1 + params.window
+                digest = hashlib.blake2b(piece[core[0] : core[1]], digest_size=16, key=b"%d %d" % (name, block)).digest()
+                out.append((row, content, start + low, rows, piece[low : high + params.window], *np.frombuffer(digest, np.int64).tolist()))
+        columns = zip(*out, strict=True) if out else [()] * 7
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+        labels = ["row", "content", "start", "rows", "bytes", "c1", "c2"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], labels)
+
+    schema = "row long, content long, start int, rows long, bytes binary, c1 long, c2 long"
+    blocks = map_batches(hot.select("row", "content", "name", "start", "rows", "bytes"), step, schema, "bytes", 256 << 10)
+    blocks = written(blocks, "blocks")
+    shared = blocks.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("c1", "c2")
+    return blocks.join(written(shared, "shared"), ["c1", "c2"], "left_semi")
+
+
 def _count_windows(hot: DataFrame, params: SubstringParams) -> DataFrame:
-    """Spans found by counting 128-bit hashes of whole windows."""
+    """Spans found by counting 128-bit hashes of whole windows. Segments that repeat as a whole are counted, but found already."""
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         pieces = batch.column("bytes").to_pylist()
@@ -151,14 +184,14 @@ def _count_windows(hot: DataFrame, params: SubstringParams) -> DataFrame:
         taken = np.repeat(np.arange(len(pieces)), counts)
         inner = np.arange(len(taken)) - np.repeat(np.cumsum(counts) - counts, counts)
         at = batch.column("start").to_numpy()[taken] + inner
-        columns = [batch.column(c).take(pa.array(taken)) for c in ("row", "content")] + [pa.array(at.astype(np.int32))]
+        columns = [batch.column(c).take(pa.array(taken)) for c in ("row", "content", "rows")] + [pa.array(at.astype(np.int32))]
         columns += [pa.array(np.ascontiguousarray(hashes[:, i])) for i in (0, 1)]
-        yield pa.RecordBatch.from_arrays(columns, ["row", "content", "at", "w1", "w2"])
+        yield pa.RecordBatch.from_arrays(columns, ["row", "content", "rows", "at", "w1", "w2"])
 
-    windows = map_batches(hot.select("row", "content", "start", "bytes"), step, "row long, content long, at int, w1 long, w2 long", "bytes", 256 << 10)
+    windows = map_batches(hot.select("row", "content", "start", "rows", "bytes"), step, "row long, content long, rows long, at int, w1 long, w2 long", "bytes", 256 << 10)
     windows = written(windows, "windows")
     repeated = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("w1", "w2")
-    found = windows.join(repeated, ["w1", "w2"], "left_semi")
+    found = windows.where("rows = 1").join(repeated, ["w1", "w2"], "left_semi")
     return found.select("row", "content", F.col("at").alias("begin"), (F.col("at") + params.window).alias("end"))
 
 
@@ -166,16 +199,18 @@ def repeated_spans(rows: DataFrame, params: SubstringParams) -> DataFrame:
     """``row, content, begin, end``: spans of bytes, which may overlap, whose union is what repeats."""
     parts = _segments(rows, params)
     twice = parts.groupBy("name").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("name")
-    chosen = parts.join(twice, "name", "left_semi")
+    # Written, so that adaptive execution can split an anchor that very many documents have.
+    chosen = parts.join(written(twice, "anchors"), "name", "left_semi")
     cuts = written(_cut(rows, chosen, params), "cuts")
-    sizes = cuts.groupBy("name", "s1", "s2").agg(F.count(F.lit(1)).alias("rows"))
+    sizes = written(cuts.groupBy("name", "s1", "s2").agg(F.count(F.lit(1)).alias("rows")), "sizes")
     whole = sizes.where("rows > 1").select("name", "s1", "s2")
     spans = cuts.join(whole, ["name", "s1", "s2"], "left_semi")
     spans = spans.select("row", "content", F.col("start").alias("begin"), (F.col("start") + F.col("count") + params.window - 1).alias("end"))
     different = sizes.groupBy("name").agg(F.count(F.lit(1)).alias("different")).where("different > 1")
-    held = cuts.where("bytes is not null").join(different, "name")
+    known = sizes.join(written(different, "different"), "name")
+    held = cuts.where("bytes is not null").join(known, ["name", "s1", "s2"])
     few = _index_blocks(held.where(F.col("different") <= params.gathered), params)
-    many = held.where(F.col("different") > params.gathered)
+    many = _shared_blocks(held.where(F.col("different") > params.gathered), params)
     return spans.union(few).union(_count_windows(many, params))
 
 
