@@ -9,8 +9,7 @@ from __future__ import annotations
 import heapq
 import re
 import struct
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -22,10 +21,10 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 MERGES = 2
 UNKNOWN_SURFACE = " ⁇ "
 REPLACEMENT = "�"
-NO_MERGE = float("-inf")
+NO_MERGE = 1 << 40
 
-# Words kept with their pieces in each Python worker; all are dropped when it is full.
-CACHE_WORDS = 400_000
+# Words kept with their pieces in each Python worker: when as many are new, those not used since the last time go.
+CACHE_WORDS = 250_000
 # Words above this length are merged with a heap, so a long text without spaces takes n log n steps.
 SHORT = 40
 
@@ -127,7 +126,9 @@ class PieceModel:
         self.words = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}]+|{SPACE_MARK}+" if apart else r"(?s).+").findall
         self.surface = [self._surface(i) for i in range(len(self.pieces))]
         self.is_byte = np.array([k == BYTE for k in self.kinds])
-        self.cache: dict[str, tuple[bytes, bytes, int]] = {}
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self._pair_table()
 
     def _surface(self, i: int) -> str:
         if self.kinds[i] in (CONTROL, BYTE):
@@ -137,7 +138,7 @@ class PieceModel:
     # Normalisation
 
     def normalise(self, text: str) -> tuple[str, np.ndarray | None]:
-        """The text the merges see, and the source byte at which each of its bytes starts (None: see ``spans``)."""
+        """The text the merges see, and the source byte at which each of its bytes starts (None: character for character)."""
         if not text:
             return "", np.zeros(1, np.int64)
         if self.charmap is None and not self.trim:
@@ -184,19 +185,77 @@ class PieceModel:
 
     # Encoding
 
-    def _merge_short(self, parts: list[str]) -> list[str]:
-        get, none = self.scores.get, NO_MERGE
-        pairs = [get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
-        while pairs and (best := max(pairs)) > none:
-            where = pairs.index(best)  # the leftmost of equal ones
-            merged = parts[where] + parts[where + 1]
-            parts[where : where + 2] = [merged]
-            del pairs[where]
-            if where:
-                pairs[where - 1] = get(parts[where - 1] + merged, none)
-            if where < len(pairs):
-                pairs[where] = get(merged + parts[where + 1], none)
-        return parts
+    def _pair_table(self) -> None:
+        """All pairs of symbols that merge: sorted keys, with the merge's rank and symbol. Symbols are pieces, then other characters."""
+        others = sorted({c for p in self.ids for c in p} - self.ids.keys())
+        symbols = self.ids | {c: len(self.pieces) + i for i, c in enumerate(others)}
+        self.symbol_count = len(self.pieces) + len(others) + 1
+        ranks = {score: r for r, score in enumerate(sorted(set(self.scores.values()), reverse=True))}
+        pairs = {}
+        for piece, i in self.ids.items():
+            for cut in range(1, len(piece)):
+                if piece[:cut] in symbols and piece[cut:] in symbols:
+                    pairs[symbols[piece[:cut]] * self.symbol_count + symbols[piece[cut:]]] = ranks[self.scores[piece]], i
+        self.pair_keys = np.array(sorted(pairs), np.int64)
+        found = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int64).reshape(-1, 2)
+        self.pair_rank, self.pair_symbol = found[:, 0], found[:, 1]
+        self.char_symbol = np.full(0x110000, self.symbol_count - 1, np.int64)
+        for char, i in symbols.items():
+            if len(char) == 1:
+                self.char_symbol[ord(char)] = i
+        self.byte_ids = np.array([self.bytes.get(b, self.unknown) for b in range(256)], np.int64)
+
+    def _pairs_at(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and symbol of the merge of each pair; the rank is ``NO_MERGE`` where there is none."""
+        if not len(self.pair_keys):
+            return np.full(len(left), NO_MERGE), left
+        keys = left * self.symbol_count + right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_rank[at], NO_MERGE), self.pair_symbol[at]
+
+    def _merge_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Symbols of all words after their merges, the characters each takes, and the word it is in.
+
+        In each round every word that still has a pair makes its best merge, the
+        leftmost of equal ones.
+        """
+        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        word = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        symbol, size = self.char_symbol[chars], np.ones(len(chars), np.int64)
+        place = np.arange(len(chars))
+        done: list[tuple[np.ndarray, ...]] = []
+        rank = np.full(len(chars), NO_MERGE)
+        merged = np.zeros(len(chars), np.int64)
+        inner = np.flatnonzero(word[1:] == word[:-1])
+        rank[inner], merged[inner] = self._pairs_at(symbol[inner], symbol[inner + 1])
+        while len(word):
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            count = np.diff(np.append(first, len(word)))
+            best = np.repeat(np.minimum.reduceat(rank, first), count)
+            over = best == NO_MERGE
+            if over.any():
+                done.append((place[over], symbol[over], size[over], word[over]))
+                place, symbol, size, word, rank, merged, best = (x[~over] for x in (place, symbol, size, word, rank, merged, best))
+                if not len(word):
+                    break
+            at = np.flatnonzero(rank == best)
+            at = at[np.diff(word[at], prepend=-1) != 0]
+            symbol[at] = merged[at]
+            size[at] += size[at + 1]
+            stay = np.ones(len(word), bool)
+            stay[at + 1] = False
+            place, symbol, size, word, rank, merged = (x[stay] for x in (place, symbol, size, word, rank, merged))
+            at -= np.arange(len(at))
+            for where in (at, at[(at > 0)] - 1):
+                rank[where] = NO_MERGE
+                paired = where[where + 1 < len(word)]
+                paired = paired[word[paired] == word[paired + 1]]
+                rank[paired], merged[paired] = self._pairs_at(symbol[paired], symbol[paired + 1])
+        if not done:
+            return (np.zeros(0, np.int64),) * 3
+        place, symbol, size, word = (np.concatenate(c) for c in zip(*done, strict=True))
+        by = np.argsort(place)
+        return symbol[by], size[by], word[by]
 
     def _merge_long(self, parts: list[str]) -> list[str]:
         n, scores = len(parts), self.scores
@@ -222,67 +281,102 @@ class PieceModel:
             offer(a, right[a])
         return [p for p in parts if p]
 
-    def _word(self, word: str) -> tuple[bytes, bytes, int]:
-        """Ids, ends in bytes from the word's start, and the word's bytes."""
-        parts = self._merge_short(list(word)) if len(word) <= SHORT else self._merge_long(list(word))
-        ids: list[int] = []
-        ends: list[int] = []
-        at = 0
-        get = self.ids.get
-        for part in parts:
-            raw = part.encode()
-            at += len(raw)
-            known = get(part)
-            if known is not None:
-                ids.append(known)
-                ends.append(at)
-            elif self.byte_fallback:
-                ids += [self.bytes[b] for b in raw]
-                # The bytes of one character share its span: all but the last are empty pieces at its start.
-                ends += [at - len(raw)] * (len(raw) - 1) + [at]
-            elif ids and ids[-1] == self.unknown:
-                ends[-1] = at  # a run of unknown characters is one piece
+    def _learn(self, words: list[str]) -> None:
+        """Adds words to the cache: for each piece its id, and where it ends in characters from the word's start."""
+        short = [w for w in words if len(w) <= SHORT]
+        symbol, size, word = self._merge_words(short)
+        parts = [(short, symbol, size, word)]
+        for long in (w for w in words if len(w) > SHORT):
+            pieces = self._merge_long(list(long))
+            symbols = [self.ids.get(p, self.symbol_count - 1) for p in pieces]
+            parts.append(([long], np.array(symbols), np.array([len(p) for p in pieces]), np.zeros(len(pieces), np.int64)))
+        for own, symbol, size, word in parts:
+            if own:
+                self._store(own, symbol, size, word)
+
+    def _store(self, words: list[str], symbol: np.ndarray, size: np.ndarray, word: np.ndarray) -> None:
+        ends = np.cumsum(size)
+        base = np.cumsum([0, *map(len, words)])[word]
+        unknown = symbol >= len(self.pieces)
+        ids = np.where(unknown, self.unknown, symbol)
+        repeat = np.ones(len(ids), np.int64)
+        stop = ends - base
+        if unknown.any() and self.byte_fallback:
+            # A character that is no piece is written as its bytes: all but the last are empty pieces at its start.
+            raw = [c.encode() for c in self._chars_at(words, ends[unknown] - 1)]
+            repeat[unknown] = [len(r) for r in raw]
+            taken = np.repeat(np.arange(len(ids)), repeat)
+            last = np.append(taken[1:] != taken[:-1], True)
+            stop = stop[taken] - (~last)
+            ids = ids[taken]
+            ids[unknown[taken]] = self.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
+            word = word[taken]
+        elif unknown.any():
+            # A run of unknown characters is one piece.
+            last = ~(unknown[:-1] & unknown[1:] & (word[:-1] == word[1:]))
+            keep = np.append(last, True)
+            ids, stop, word = ids[keep], stop[keep], word[keep]
+        data = np.column_stack([ids, stop]).astype(np.int32).tobytes()
+        limits = (8 * np.searchsorted(word, np.arange(len(words) + 1))).tolist()
+        self.cache.update(zip(words, [data[a:b] for a, b in zip(limits, limits[1:], strict=False)], strict=True))
+
+    @staticmethod
+    def _chars_at(words: list[str], places: np.ndarray) -> list[str]:
+        text = "".join(words)
+        return [text[i] for i in places.tolist()]
+
+    def encode_many(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts, the span of source bytes of each piece (start, end exclusive), and where each text's pieces begin."""
+        normal = [self.normalise(t) for t in texts]
+        words = [self.words(n) for n, _ in normal]
+        if len(self.cache) > CACHE_WORDS:
+            self.cache, self.older = {}, self.cache
+        new = {w for own in words for w in own} - self.cache.keys()
+        self.cache.update({w: self.older[w] for w in new & self.older.keys()})
+        self._learn(list(new - self.older.keys()))
+        entries = [self.cache[w] for own in words for w in own]
+        found = np.frombuffer(b"".join(entries), np.int32).reshape(-1, 2)
+        counts = np.fromiter(map(len, entries), np.int64, len(entries)) >> 3
+        ids, stops = found[:, 0], found[:, 1].astype(np.int64)
+        # Ends in characters, counted over all texts.
+        last = np.cumsum(counts) - 1
+        sizes = stops[last] if len(last) else last
+        stops += np.repeat(np.cumsum(sizes) - sizes, counts)
+        per_text = np.add.reduceat(np.append(counts, 0), np.minimum(np.cumsum([0, *map(len, words)])[:-1], len(counts))) if texts else counts
+        per_text = np.where([len(w) > 0 for w in words], per_text, 0) if texts else per_text
+        offsets = np.concatenate([[0], np.cumsum(per_text)]).astype(np.int64)
+        places = self._places(texts, normal)
+        text = np.repeat(np.arange(len(texts)), per_text)
+        # Each text has one place more than characters: the end of its last one.
+        ends = places[stops + text] if len(stops) else stops
+        starts = np.zeros(len(ends), np.int64)
+        starts[1:] = ends[:-1]
+        heads = offsets[:-1][per_text > 0]
+        at = np.cumsum([0, *[len(n) + 1 for n, _ in normal]])[:-1]
+        starts[heads] = places[at[per_text > 0]] if len(heads) else 0
+        return ids, starts, ends, offsets
+
+    def _places(self, texts: Sequence[str], normal: list[tuple[str, np.ndarray | None]]) -> np.ndarray:
+        """For each character of each normalised text, and its end, the source byte."""
+        out = []
+        for text, (own, source) in zip(texts, normal, strict=True):
+            if source is not None:
+                raw = np.frombuffer(own.encode(), np.uint8)
+                out.append(source[np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))])
+                continue
+            # Characters stand one for one; one mark may come before them.
+            added = len(own) - len(text)
+            if text.isascii():
+                heads = np.arange(len(text) + 1)
             else:
-                ids.append(self.unknown)
-                ends.append(at)
-        entry = array("i", ids).tobytes(), array("i", ends).tobytes(), at
-        if len(word) <= SHORT:
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            self.cache[word] = entry
-        return entry
+                raw = np.frombuffer(text.encode(), np.uint8)
+                heads = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
+            out.append(np.concatenate([np.zeros(added, np.int64), heads]))
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and the span of source bytes of each piece (start, end exclusive)."""
-        normal, source = self.normalise(text)
-        get, word = self.cache.get, self._word
-        entries = [get(w) or word(w) for w in self.words(normal)]
-        ids = np.frombuffer(b"".join([e[0] for e in entries]), np.int32)
-        ends = np.frombuffer(b"".join([e[1] for e in entries]), np.int32).astype(np.int64)
-        sizes = np.fromiter((e[2] for e in entries), np.int64, len(entries))
-        counts = np.fromiter((len(e[0]) >> 2 for e in entries), np.int64, len(entries))
-        ends += np.repeat(np.cumsum(sizes) - sizes, counts)
-        return ids, *self.spans(text, normal, source, ends)
-
-    def spans(self, text: str, normal: str, source: np.ndarray | None, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ends in the normalised text as spans of source bytes."""
-        if not len(ends):
-            return ends, ends
-        if source is None:
-            # Characters stand one for one, but a space has one byte where its mark has three.
-            raw = np.frombuffer(normal.encode(), np.uint8)
-            shrink = np.zeros(len(raw) + 1, np.int64)
-            kept = np.frombuffer(text.encode(), np.uint8)
-            heads = np.flatnonzero((raw & 0xC0) != 0x80)
-            own = np.flatnonzero((kept & 0xC0) != 0x80)
-            offset = len(heads) - len(own)
-            shrink[heads[offset:]] = own
-            shrink[-1] = len(kept)
-            # Inside a character the place is that of its start; ends never fall there.
-            source = shrink
-        stops = source[ends]
-        starts = np.concatenate([source[:1], stops[:-1]])
-        return starts, stops
+        return self.encode_many([text])[:3]
 
     # Decoding
 

@@ -20,11 +20,8 @@ from .common import map_batches, text_or_empty
 from .piece_model import load
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
-    offsets = np.zeros(len(arrays) + 1, np.int32)
-    np.cumsum([len(a) for a in arrays], out=offsets[1:])
-    values = np.concatenate(arrays) if arrays else np.zeros(0)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32, copy=False)))
+def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.astype(np.int32)))
 
 
 def encode_pieces(
@@ -49,10 +46,11 @@ def encode_pieces(
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         model = load(data)
-        found = [model.encode(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-        columns = batch.columns[:-1] + [_lists([f[i] for f in found]) for i in range(3)]
+        ids, starts, ends, offsets = model.encode_many(batch.column(batch.num_columns - 1).to_pylist())
+        columns = batch.columns[:-1] + [_lists(v, offsets) for v in (ids, starts, ends)]
         if decoded:
-            columns.append(pa.array([model.decode(f[0]) for f in found], pa.string()))
+            limits = offsets.tolist()
+            columns.append(pa.array([model.decode(ids[a:b]) for a, b in zip(limits, limits[1:], strict=False)], pa.string()))
         yield pa.RecordBatch.from_arrays(columns, [*keep, *added[: 3 + decoded]])
 
     return map_batches(rows, step, schema, "__text", 1 << 20)
