@@ -190,7 +190,7 @@ def _count_windows(hot: DataFrame, params: SubstringParams) -> DataFrame:
 
     windows = map_batches(hot.select("row", "content", "start", "rows", "bytes"), step, "row long, content long, rows long, at int, w1 long, w2 long", "bytes", 256 << 10)
     windows = written(windows, "windows")
-    repeated = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("w1", "w2")
+    repeated = windows.groupBy("w1", "w2").agg(F.sum("rows").alias("all")).where("all > 1").select("w1", "w2")
     found = windows.where("rows = 1").join(repeated, ["w1", "w2"], "left_semi")
     return found.select("row", "content", F.col("at").alias("begin"), (F.col("at") + params.window).alias("end"))
 
@@ -210,7 +210,9 @@ def repeated_spans(rows: DataFrame, params: SubstringParams) -> DataFrame:
     known = sizes.join(written(different, "different"), "name")
     held = cuts.where("bytes is not null").join(known, ["name", "s1", "s2"])
     few = _index_blocks(held.where(F.col("different") <= params.gathered), params)
-    many = _shared_blocks(held.where(F.col("different") > params.gathered), params)
+    # One of each segment, however many batches sent its bytes; its windows count as often as it occurs.
+    hot = held.where(F.col("different") > params.gathered).dropDuplicates(["name", "s1", "s2"])
+    many = _shared_blocks(hot, params)
     return spans.union(few).union(_count_windows(many, params))
 
 
