@@ -1,16 +1,20 @@
-"""Queries of the operators that work in Arrow batches: 2, 3, 7, 8 and 9."""
+"""Queries of the operators that work in Arrow batches: 2, 3, 4, 6 to 9, and 11 to 13."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .centroids import cluster_vectors
 from .common import table
 from .ngram_join import jaccard_components
 from .pieces import encode_pieces
 from .quality import classify, fit_quality, fold
 from .registry import query
 from .repetition import repetition
+from .resampling import resample
+from .simhash import simhash_components
+from .sql_twins import CLUSTER_SQL, RESAMPLE_SQL
 from .substring_dedup import substring_dedup
 from .token_counts import token_counts
 from .toxicity import fit_lexicon, toxicity
@@ -89,3 +93,21 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of all documents without the bytes of repeated 400-byte strings."""
     out = substring_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_simhash")
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their components under links of 4 bits or fewer."""
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
+@query("op12_centroids", CLUSTER_SQL)
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors of 64 finite components in 40 clusters, after five rounds."""
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_resample", RESAMPLE_SQL)
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, a quarter of the long ones drawn and ranked by how much they are like the benchmark."""
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
