@@ -149,14 +149,15 @@ def cell_links(group: np.ndarray, fps: np.ndarray, distance: int) -> tuple[np.nd
 def links(distinct: DataFrame, params: SimHashParams) -> DataFrame:
     """``a, b``: links that connect all different fingerprints within the distance, each once."""
     entries = distinct.select("fp", F.explode(cells(F.col("fp"))).alias("cell"))
-    shared = entries.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    # Blocks of a crowded cell meet pairwise; another cell is one block.
-    met = entries.join(shared, "cell").withColumn("blocks", F.ceil(F.col("n") / params.block).cast("int"))
+    crowded = entries.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > params.block)
+    # Written, so that its size decides how it is joined. Blocks of a crowded cell meet pairwise; another cell is one block.
+    met = entries.join(written(crowded, "crowded"), "cell", "left")
+    met = met.withColumn("blocks", F.coalesce(F.ceil(F.col("n") / params.block), F.lit(1)).cast("int"))
     met = met.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.where((F.col("blocks") == 1) | (F.col("own") != F.col("other")))
     unit = met.select("fp", "cell", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    dealt = unit.repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high")
+    dealt = unit.repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((0, 4), np.int64)
