@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import decimal
 import json
+import random
 from dataclasses import replace
 
 import pytest
@@ -255,6 +257,43 @@ def test_messages_carry_their_schema(spark):
     assert rows[2]["value"] is None and rows[2]["key"] == rows[1]["key"]
 
 
+@pytest.mark.parametrize("precision, scale", [(5, 0), (18, 4), (19, 0), (38, 0), (38, 38), (30, 4)])
+def test_decimals_in_messages_are_their_unscaled_bytes(spark, precision, scale):
+    rng = random.Random(precision + scale)
+    top = 10**precision - 1
+    numbers = {0, 1, -1, 127, 128, -128, -129, 255, 256, 32767, -32768, top, -top, *[rng.randint(-top, top) for _ in range(50)]}
+    numbers |= {s * (1 << b) + d for b in (15, 31, 32, 63, 64, 95, 96) for s in (1, -1) for d in (-1, 0, 1)}
+    numbers = sorted(n for n in numbers if abs(n) <= top)
+    rows = [(i, decimal.Decimal(n).scaleb(-scale, decimal.Context(prec=60))) for i, n in enumerate(numbers)]
+    frame = spark.createDataFrame(rows, f"i int, d decimal({precision},{scale})")
+    kind = frame.schema["d"].dataType
+    found = {r["i"]: bytes(r["b"]) for r in frame.select("i", os_.unscaled_bytes(F.col("d"), kind).alias("b")).collect()}
+    for i, n in enumerate(numbers):
+        size = next(k for k in range(1, 18) if -(1 << 8 * k - 1) <= n < 1 << 8 * k - 1)
+        assert found[i] == n.to_bytes(size, "big", signed=True), n
+
+
+def test_payloads_fit_their_schema_at_any_depth(spark):
+    row = "struct<d: decimal(9,2), day: date, moment: timestamp, local: timestamp_ntz>"
+    one = "'d', 1.25BD, 'day', date'1970-01-03', 'moment', timestamp'1970-01-01 00:00:01.5', 'local', timestamp_ntz'1970-01-01 00:00:02'"
+    two = "'d', -0.01BD, 'day', date'1969-12-31', 'moment', CAST(NULL AS timestamp), 'local', CAST(NULL AS timestamp_ntz)"
+    frame = spark.sql(
+        f"SELECT struct(1L AS k) AS key, CAST(named_struct('one', named_struct({one}), 'more', array(named_struct({two})))"
+        f" AS struct<one: {row}, more: array<{row}>>) AS value"
+    )
+    value = os_.payload_value(F.col("value"), frame.schema["value"].dataType)
+    payload = json.loads(frame.select(F.to_json(value, {"ignoreNullFields": "false"}).alias("v")).first()["v"])
+    assert payload == {
+        "one": {"d": "fQ==", "day": 2, "moment": 1500, "local": 2000},
+        "more": [{"d": "/w==", "day": -1, "moment": None, "local": None}],
+    }
+    schema = os_.message_schema(frame.schema["value"].dataType, False)
+    fields = {f["field"]: f for f in schema["fields"][0]["fields"]}
+    assert fields["d"]["parameters"] == {"scale": "2", "connect.decimal.precision": "9"} and fields["d"]["type"] == "bytes"
+    assert [fields[n]["name"].rsplit(".", 1)[1] for n in ("d", "day", "moment", "local")] == ["Decimal", "Date", "Timestamp", "Timestamp"]
+    assert os_.payload_value(F.lit(1), StringType()) is not None
+
+
 def test_propagated_types_reach_the_message(spark):
     table = StructType([TABLE["a"], replace_meta(TABLE["b"], type="VARCHAR(20)", length=20)])
     config = replace(CONFIG, propagate_types=".*VARCHAR")

@@ -13,6 +13,7 @@ GEOGRAPHY_MODES = ("geometry", "string")
 VECTOR_MODES = ("string", "binary", "array")
 SNAPSHOT_MODES = ("initial", "initial_only", "no_data", "when_needed")
 FAILURE_MODES = ("fail", "warn", "ignore")
+ARRIVAL_ORDERS = ("check", "hold", "any")
 OPERATIONS = ("c", "u", "d", "t")
 
 _OFFSET = re.compile(r"[0-9a-fA-F]+\Z")
@@ -60,6 +61,8 @@ class CdcConfig:
     time_mode: str = "adaptive"
     geography_mode: str = "geometry"
     vector_mode: str = "string"
+    # Names of what temporal numbers count begin with this in a message's schema; none without it.
+    semantic_prefix: str | None = None
 
     column_include: str | None = None
     column_exclude: str | None = None
@@ -83,8 +86,18 @@ class CdcConfig:
     heartbeat_interval_ms: int = 0
     heartbeat_prefix: str = "__heartbeat"
     notification_channels: str | None = None
+    notification_topic: str | None = None
     metric_tags: str | None = None
 
+    # Arrival numbers across batches: fail on one that is older than the last, wait for missing ones, or neither.
+    arrival_order: str = "check"
+    arrival_first: int = 0
+    arrival_lag: int = 0
+    # Events that are written together, records and bytes that a micro-batch takes; 0 sets no limit.
+    max_batch_size: int = 0
+    max_queue_size: int = 0
+    max_queue_bytes: int = 0
+
     connector_name: str = "tidemark"
     connector_version: str = "0.1.0"
     bucket_rows: int = 1 << 18
@@ -110,6 +123,7 @@ class CdcConfig:
             ("vector_mode", VECTOR_MODES),
             ("failure_mode", FAILURE_MODES),
             ("topic_strategy", ("default", "unicode")),
+            ("arrival_order", ARRIVAL_ORDERS),
         ):
             if getattr(self, name) not in allowed:
                 yield f"{name} must be one of {', '.join(allowed)}"
@@ -123,6 +137,11 @@ class CdcConfig:
             yield "partitions must be at least 1"
         if self.poll_interval_ms < 1:
             yield "poll_interval_ms must be at least 1"
+        for name in ("arrival_lag", "max_batch_size", "max_queue_size", "max_queue_bytes", "heartbeat_interval_ms"):
+            if getattr(self, name) < 0:
+                yield f"{name} must not be negative"
+        if "sink" in split_list(self.notification_channels) and self.notification_topic == "":
+            yield "notification_topic must not be empty"
         if self.column_include and self.column_exclude:
             yield "column_include and column_exclude cannot both be set"
 
@@ -163,6 +182,7 @@ _OPTION_FIELDS = {
     "time.precision.mode": "time_mode",
     "geography.handling.mode": "geography_mode",
     "vector.handling.mode": "vector_mode",
+    "semantic.type.prefix": "semantic_prefix",
     "column.include.list": "column_include",
     "column.exclude.list": "column_exclude",
     "column.propagate.source.type": "propagate_columns",
@@ -180,6 +200,13 @@ _OPTION_FIELDS = {
     "heartbeat.interval.ms": "heartbeat_interval_ms",
     "heartbeat.topics.prefix": "heartbeat_prefix",
     "notification.enabled.channels": "notification_channels",
+    "notification.sink.topic.name": "notification_topic",
+    "max.batch.size": "max_batch_size",
+    "max.queue.size": "max_queue_size",
+    "max.queue.size.in.bytes": "max_queue_bytes",
+    "arrival.order": "arrival_order",
+    "arrival.first": "arrival_first",
+    "arrival.lag": "arrival_lag",
     "custom.metric.tags": "metric_tags",
 }
 

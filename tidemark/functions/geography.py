@@ -55,27 +55,39 @@ def _path_encoder():
 
     @F.arrow_udf(BinaryType())
     def encode(shape: pa.Array, rings: pa.Array) -> pa.Array:
+        """All rings of a batch at once: places follow from sizes, and what is not a head is points, in order."""
+        codes = shape.fill_null(0).to_numpy(zero_copy_only=False).astype("i8")
+        counts = rings.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype("i8")
         inner = rings.flatten()
         sizes = np.asarray(inner.value_lengths(), dtype="i8")
-        points = inner.flatten().to_numpy(zero_copy_only=False).astype(">f8").tobytes()
-        ends = (np.concatenate([[0], np.cumsum(sizes)]) * 8).tolist()
-        heads = (sizes // 2).astype(">u4").tobytes()
-        counts = rings.value_lengths().fill_null(0).to_pylist()
-        out: list[bytes | None] = []
-        ring = 0
-        for code, count in zip(shape.to_pylist(), counts):
-            if code is None:
-                out.append(None)
-                ring += count
-                continue
-            parts = [b"\x00", code.to_bytes(4, "big")]
-            if code == polygon:
-                parts.append(count.to_bytes(4, "big"))
-            for _ in range(count):
-                parts += [heads[ring * 4 : ring * 4 + 4], points[ends[ring] : ends[ring + 1]]]
-                ring += 1
-            out.append(b"".join(parts))
-        return pa.array(out, pa.binary())
+        row = np.repeat(np.arange(len(codes)), counts)
+        used = codes[row] > 0
+        valid = codes > 0
+        head = np.where(valid, np.where(codes == polygon, 9, 5), 0)
+        # A ring's bytes, none where the row has no shape.
+        taken = np.where(used, 4 + 8 * sizes, 0)
+        own = np.bincount(row, weights=taken, minlength=len(codes)).astype("i8")
+        ends = np.concatenate([[0], np.cumsum(head + own)])
+        before = np.cumsum(taken) - taken
+        ring_at = np.cumsum(head)[row] + before
+        out = np.zeros(ends[-1], "u1")
+        is_point = np.ones(ends[-1], bool)
+
+        def put(at: np.ndarray, values: np.ndarray) -> None:
+            places = at[:, None] + np.arange(4)
+            out[places] = values.astype(">u4").view("u1").reshape(-1, 4)
+            is_point[places] = False
+
+        begin = ends[:-1]
+        is_point[begin[valid]] = False
+        put(begin[valid] + 1, codes[valid])
+        put(begin[codes == polygon] + 5, counts[codes == polygon])
+        put(ring_at[used], sizes[used] // 2)
+        points = inner.flatten().to_numpy(zero_copy_only=False)[np.repeat(used, sizes)]
+        out[is_point] = points.astype(">f8").view("u1")
+        bitmap = pa.py_buffer(np.packbits(valid, bitorder="little").tobytes())
+        offsets = pa.py_buffer(ends.astype("<i4").tobytes())
+        return pa.BinaryArray.from_buffers(pa.binary(), len(codes), [bitmap, offsets, pa.py_buffer(out.tobytes())])
 
     return encode
 

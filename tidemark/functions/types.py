@@ -16,7 +16,18 @@ from ..config import CdcConfig
 from .binary import convert_binary, convert_bit
 from .geography import EMPTY_COLLECTION, convert_geography, geography_shape
 from .offsets import _col
-from .temporal import DURATION, convert_date, convert_time, convert_timestamp, convert_year, parse_duration
+from .temporal import (
+    DURATION,
+    TIME_MICROS_WIDTH,
+    TIME_SECONDS_WIDTH,
+    TIMESTAMP_MICROS_WIDTH,
+    TIMESTAMP_SECONDS_WIDTH,
+    convert_date,
+    convert_time,
+    convert_timestamp,
+    convert_year,
+    parse_duration,
+)
 from .vector import ELEMENT_SPARK, VECTOR_TYPE, convert_vector
 
 # Base type names by the conversion they take.
@@ -109,6 +120,30 @@ def vector_element(type_name: str) -> str:
     return found[2]
 
 
+# Column metadata that names what a whole number stands for.
+SEMANTIC = "semantic"
+
+
+def semantic_type(field: StructField, config: CdcConfig) -> dict[str, str]:
+    """The name of what a temporal column's number counts, under the job's prefix for such names; none without a prefix."""
+    base = base_type_name(field.metadata.get("type", ""))
+    arguments = type_arguments(field.metadata.get("type", ""))
+    length = int(field.metadata.get("length", 0) or 0)
+    if not config.semantic_prefix or config.time_mode == "connect":
+        return {}
+    if base == "DATE":
+        name = "Date"
+    elif base == "TIME":
+        wide = TIME_SECONDS_WIDTH < (length or (TIME_MICROS_WIDTH if arguments == [6] else TIME_SECONDS_WIDTH)) <= TIME_MICROS_WIDTH
+        name = "MicroTime" if wide or config.time_mode == "adaptive_time_microseconds" else "Time"
+    elif base in TIMESTAMPS:
+        size = length or (TIMESTAMP_MICROS_WIDTH if arguments == [6] else TIMESTAMP_SECONDS_WIDTH)
+        name = "Timestamp" if size <= TIMESTAMP_SECONDS_WIDTH else "MicroTimestamp"
+    else:
+        return {}
+    return {SEMANTIC: f"{config.semantic_prefix}.{name}"}
+
+
 def type_arguments(type_name: str) -> list[int]:
     """The whole numbers between the brackets of a type name."""
     inside = re.search(r"\(([^)]*)\)", type_name)

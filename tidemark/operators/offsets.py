@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.offsets import to_hex
 from ..logschema import SEQ
+from .buckets import FANOUT, depth_bounds, depth_bucket, whole_div
 from .wide_vector import wide_vectors
 
-# Arrival numbers per bucket, and buckets per block. A block spans 2^28 arrival
-# numbers, so the one ordered list at the top has 4,000 entries per trillion records.
+# Records of a bucket.
 BUCKET_ROWS = 1 << 18
-FANOUT = 1 << 10
+# Levels of totals above equal-depth buckets: coarse parts, and buckets in them.
 LEVELS = 2
 # Up to this many partitions each slot is a column with a running value; beyond, all slots are filled in one step.
 NARROW_VECTOR = 16
@@ -35,17 +35,16 @@ def _as_text(df: DataFrame, offset: str) -> Column:
 
 
 def carried_offsets(
-    df: DataFrame,
+    placed: DataFrame,
     n: int,
     *,
-    bucket_rows: int = BUCKET_ROWS,
     fanout: int = FANOUT,
     levels: int = LEVELS,
     seq: str = SEQ,
     partition: str = "PartitionId",
     offset: str = "Offset",
 ) -> DataFrame:
-    """Per bucket of arrival numbers, each slot's last offset *before* the bucket.
+    """Per bucket of records that have theirs, each slot's last offset *before* the bucket.
 
     Reads the three ordering columns only, and folds them before the shuffle:
     one row per bucket and database partition. Bucket totals roll up into
@@ -55,7 +54,7 @@ def carried_offsets(
     """
     slots = range(n)
     last = (
-        df.select(_div(F.col(seq), bucket_rows).alias(_block(0)), seq, partition, offset)
+        placed.select(_block(0), seq, partition, offset)
         .groupBy(_block(0), partition)
         .agg(F.max_by(offset, seq).alias("__last"))
     )
@@ -100,13 +99,7 @@ def _gather(df: DataFrame, level: int, levels: int, fanout: int) -> DataFrame:
     """Brings the children of a block together: one shuffle serves all that is done inside the block."""
     if level + 1 >= levels:
         return df
-    return df.withColumn(_block(level + 1), _div(F.col(_block(level)), fanout)).repartition(_block(level + 1))
-
-
-def _div(c: Column, n: int) -> Column:
-    """Whole buckets of a number, also below zero."""
-    size = F.lit(n).cast("bigint")
-    return F.call_function("div", c - F.pmod(c, size), size)
+    return df.withColumn(_block(level + 1), whole_div(F.col(_block(level)), fanout)).repartition(_block(level + 1))
 
 
 def with_offset_vector(
@@ -115,10 +108,11 @@ def with_offset_vector(
     start: list[str | None] | None = None,
     *,
     out: str = "offsets",
+    records: int | None = None,
     span: tuple[int, int] | None = None,
     bucket_rows: int = BUCKET_ROWS,
     fanout: int = FANOUT,
-    levels: int = LEVELS,
+    levels: int | None = None,
     seq: str = SEQ,
     partition: str = "PartitionId",
     offset: str = "Offset",
@@ -126,37 +120,46 @@ def with_offset_vector(
     """Adds the vector as it stands after each record's own offset was applied.
 
     One ordered window over the whole log would be one task. Instead the wide
-    rows are shuffled once, by bucket of ``bucket_rows`` arrival numbers, and
-    the running value is taken inside the bucket; what came before the bucket
-    is joined on from :func:`carried_offsets`, on the same bucketing. ``seq``
-    must be unique, so a bucket never holds more than ``bucket_rows`` records.
-
-    ``span`` is the smallest and largest ``seq``, where a caller knows them (a
-    micro-batch does): levels that such a span does not need are left out, and
-    records of one bucket need no carried values at all.
+    rows are shuffled once, by bucket of about ``bucket_rows`` records, and the
+    running value is taken inside the bucket; what came before the bucket is
+    joined on from :func:`carried_offsets`, on the same bucketing. ``seq`` must be
+    unique.
+
+    Buckets have equal depth (see :mod:`.buckets`), however far apart the numbers
+    lie. ``records`` is how many there are, where a caller knows it (a
+    micro-batch does): those of one bucket need no carried values at all. A caller
+    who knows that numbers are dense can have buckets of ``bucket_rows`` *numbers*
+    instead, with ``levels`` of blocks over them, or as many as the ``span`` (the
+    smallest and largest number) needs.
     """
-    if n < 1 or levels < 1:
+    if n < 1 or (levels is not None and levels < 1):
         raise ValueError("a vector needs at least one element and one level")
     if start is not None and len(start) != n:
         raise ValueError(f"start vector has {len(start)} elements, expected {n}")
     names = df.columns
-    if span is not None:
+    placed = df.withColumn(_block(0), whole_div(F.col(seq), bucket_rows))
+    if records is not None and records <= bucket_rows:
+        placed, levels = df.withColumn(_block(0), F.lit(0).cast("bigint")), 0
+    elif span is not None:
         buckets = span[1] // bucket_rows - span[0] // bucket_rows + 1
         needed = 0 if buckets == 1 else 1
         while fanout**needed < buckets:
             needed += 1
-        levels = min(levels, needed)
+        levels = min(levels or LEVELS, needed)
+    elif levels is None:
+        depths = depth_bounds(df, bucket_rows, seq, fanout=fanout)
+        placed, levels = df.withColumn(_block(0), depth_bucket(F.col(seq), depths, fanout)), 0 if depths.single else LEVELS
     if n > NARROW_VECTOR:
-        keyed = df.withColumn(_block(0), _div(F.col(seq), bucket_rows)).withColumn("__text", _as_text(df, offset))
+        keyed = placed.withColumn("__text", _as_text(df, offset))
         filled = wide_vectors(keyed, "__text", n, start or [None] * n, out, _block(0), fanout, levels, seq, partition)
         return filled.select(*names, out)
     is_binary = df.schema[offset].dataType.typeName() == "binary"
     upto = Window.partitionBy(_block(0)).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
     # Shuffled explicitly: the window's own shuffle would also carry one input column per slot.
     # Bytes travel, and each becomes text once, where it enters a slot.
-    placed = df.withColumn(_block(0), _div(F.col(seq), bucket_rows)).repartition(_block(0))
+    dealt = placed.repartition(_block(0))
     text = to_hex(offset) if is_binary else F.col(offset)
-    rows = placed.select(
+    rows = dealt.select(
         *names,
         _block(0),
         *[F.last(F.when(F.col(partition) == i, text), True).over(upto).alias(f"__own_{i}") for i in range(n)],
@@ -164,7 +167,7 @@ def with_offset_vector(
     known = [[F.col(f"__own_{i}")] for i in range(n)]
     if levels:
         before = carried_offsets(
-            df, n, bucket_rows=bucket_rows, fanout=fanout, levels=levels, seq=seq, partition=partition, offset=offset
+            placed, n, fanout=fanout, levels=levels, seq=seq, partition=partition, offset=offset
         )
         if is_binary:
             before = before.select(_block(0), *[to_hex(_slot(i)).alias(_slot(i)) for i in range(n)])

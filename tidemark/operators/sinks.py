@@ -20,9 +20,11 @@ from pyspark.sql.types import (
     ShortType,
     StringType,
     StructType,
+    TimestampNTZType,
     TimestampType,
 )
 
+from ..functions.types import SEMANTIC
 from ..logschema import INTERNAL_ID
 
 # Fixed value: what a message would say of its transaction.
@@ -55,8 +57,18 @@ _SCHEMA_TYPES: list[tuple[type[DataType], str]] = [
     (BinaryType, "bytes"),
     (DateType, "int32"),
     (TimestampType, "int64"),
+    (TimestampNTZType, "int64"),
     (DecimalType, "bytes"),
 ]
+# Names of the types whose payload is an encoded number, and of their parameters.
+_LOGICAL = "org.apache.kafka.connect.data."
+_LOGICAL_TYPES: list[tuple[type[DataType], str]] = [
+    (DateType, "Date"),
+    (TimestampType, "Timestamp"),
+    (TimestampNTZType, "Timestamp"),
+    (DecimalType, "Decimal"),
+]
+SCALE, PRECISION = "scale", "connect.decimal.precision"
 
 
 def message_schema(kind: DataType, optional: bool, name: str | None = None) -> dict:
@@ -66,20 +78,76 @@ def message_schema(kind: DataType, optional: bool, name: str | None = None) -> d
         for entry, f in zip(fields, kind.fields):
             facts = {k: v for k, v in f.metadata.items() if k.startswith("source.column.")}
             if facts:
-                entry["parameters"] = facts
+                entry["parameters"] = {**entry.get("parameters", {}), **facts}
+            if SEMANTIC in f.metadata and "name" not in entry:
+                entry.update(name=f.metadata[SEMANTIC], version=1)
         out: dict = {"type": "struct", "fields": fields}
     elif isinstance(kind, ArrayType):
         out = {"type": "array", "items": message_schema(kind.elementType, kind.containsNull)}
     else:
         out = {"type": next((n for t, n in _SCHEMA_TYPES if isinstance(kind, t)), "string")}
     out["optional"] = optional
+    logical = next((n for t, n in _LOGICAL_TYPES if isinstance(kind, t)), None)
+    if logical:
+        out.update(name=_LOGICAL + logical, version=1)
+    if isinstance(kind, DecimalType):
+        out["parameters"] = {SCALE: str(kind.scale), PRECISION: str(kind.precision)}
     if name:
         out["name"] = name
     return out
 
 
-def _message(payload: Column, schema: dict) -> Column:
-    text = F.to_json(payload, {"ignoreNullFields": "false"})
+_WORD = str(1 << 64)
+
+
+def unscaled_bytes(c: Column, kind: DecimalType) -> Column:
+    """A decimal's digits without the point, as the fewest big-endian bytes in two's complement."""
+    digits = F.replace(c.cast(kind).cast("string"), F.lit("."), F.lit(""))
+    if kind.precision <= 18:
+        text = F.lpad(F.hex(digits.cast("bigint")), 16, "0")
+    else:
+        number = digits.cast("decimal(38,0)")
+        low = F.pmod(number, F.lit(_WORD).cast("decimal(20,0)")).cast("decimal(20,0)")
+        word = F.lit(_WORD).cast("decimal(38,0)")
+        high = F.call_function("div", number, word) - F.when((number < 0) & (low > 0), F.lit(1)).otherwise(F.lit(0))
+        half = F.lit(1 << 32).cast("decimal(20,0)")
+        upper = F.call_function("div", low, half)
+        lower = F.pmod(low, half).cast("bigint")
+        text = F.concat(F.lpad(F.hex(high), 16, "0"), F.lpad(F.hex(upper), 8, "0"), F.lpad(F.hex(lower), 8, "0"))
+    # A leading byte goes if the next one has the same sign.
+    short = F.regexp_replace(F.regexp_replace(text, "^(?:00(?=[0-7]))+", ""), "^(?:FF(?=[89A-F]))+", "")
+    return F.unhex(short)
+
+
+def payload_value(c: Column, kind: DataType) -> Column:
+    """A value in the form its schema promises: decimals as bytes, dates as days, timestamps as milliseconds."""
+    if isinstance(kind, StructType):
+        if not _encoded(kind):
+            return c
+        fields = [payload_value(c[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    if isinstance(kind, ArrayType):
+        return F.transform(c, lambda x: payload_value(x, kind.elementType)) if _encoded(kind) else c
+    if isinstance(kind, DecimalType):
+        return unscaled_bytes(c, kind)
+    if isinstance(kind, DateType):
+        return F.unix_date(c)
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return F.unix_millis(c.cast("timestamp"))
+    return c
+
+
+def _encoded(kind: DataType) -> bool:
+    """Whether a type holds any value that a message writes in another form."""
+    if isinstance(kind, StructType):
+        return any(_encoded(f.dataType) for f in kind.fields)
+    if isinstance(kind, ArrayType):
+        return _encoded(kind.elementType)
+    return isinstance(kind, (DecimalType, DateType, TimestampType, TimestampNTZType))
+
+
+def _message(payload: Column, kind: DataType, schema: dict) -> Column:
+    text = F.to_json(payload_value(payload, kind), {"ignoreNullFields": "false"})
     head = '{"schema":' + json.dumps(schema, separators=(",", ":")) + ',"payload":'
     return F.concat(F.lit(head), text, F.lit("}"))
 
@@ -106,10 +174,18 @@ def with_tombstones(df: DataFrame, enabled: bool = True) -> DataFrame:
     return whole.select(*own, F.inline(rows))
 
 
+# What every message has; all else may be missing.
+_ALWAYS = ("version", "connector", "name", "ts_ms", "db", "table", "txId", "partitionId", "offsets")
+
+
 def _with_table_facts(schema: dict, table: StructType | None) -> dict:
-    """Marks the row's required columns, which a frame read from files no longer knows."""
+    """Marks what is required: the table's columns that are, and the fixed parts. A frame read from files knows neither."""
     required = {f.name for f in table.fields if not f.nullable} if table is not None else set()
     for side in schema["fields"]:
+        side["optional"] = side["field"] not in ("source", "op")
+        if side["field"] == "source":
+            for f in side["fields"]:
+                f["optional"] = f["field"] not in _ALWAYS
         if side["field"] in ("before", "after"):
             for f in side["fields"]:
                 f["optional"] = f["field"] not in required and f["field"] != INTERNAL_ID
@@ -133,8 +209,11 @@ def to_messages(df: DataFrame, name: str = "", table: StructType | None = None)
     value_schema = message_schema(whole.schema["value"].dataType, False, f"{name}.Envelope" if name else None)
     value_schema = _with_table_facts(value_schema, table)
     rest = [c for c in whole.columns if c not in ("key", "value")]
+    kinds = {f.name: f.dataType for f in whole.schema.fields}
     return whole.select(
-        *rest, _message(F.col("key"), key_schema).alias("key"), _message(F.col("value"), value_schema).alias("value")
+        *rest,
+        _message(F.col("key"), kinds["key"], key_schema).alias("key"),
+        _message(F.col("value"), kinds["value"], value_schema).alias("value"),
     )
 
 

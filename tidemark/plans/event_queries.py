@@ -99,9 +99,9 @@ def split_meta_query(spark, sf_dir):
     )
 
 
-@query("map_op", E + "SELECT op, count(*) AS n FROM ev GROUP BY op")
+@query("map_op", E + "SELECT seq, kind, op FROM ev")
 def map_op_query(spark, sf_dir):
-    return event_rows(spark, sf_dir).groupBy("op").agg(F.count(F.lit(1)).alias("n"))
+    return event_rows(spark, sf_dir).select("seq", F.col("Type").alias("kind"), "op")
 
 
 @query("drop_markers", E + "SELECT seq, kind, user_id FROM ev")
@@ -268,36 +268,74 @@ def topic_route_unicode_query(spark, sf_dir):
     )
 
 
+def _field(kind: str, name: str, optional: bool = True) -> str:
+    return f'{{"type":"{kind}","optional":{str(optional).lower()},"field":"{name}"}}'
+
+
+_ROW = [_field("int64", "user_id", False), _field("string", "event_type"), _field("double", "value"), _field("string", "props"), _field("int64", "ts")]
+_SOURCE = [
+    *[_field("string", n, False) for n in ("version", "connector", "name")],
+    _field("int64", "ts_ms", False),
+    _field("string", "snapshot"),
+    _field("string", "db", False),
+    _field("string", "sequence"),
+    *[_field("string", n, False) for n in ("table", "txId")],
+    _field("int32", "partitionId", False),
+    '{"type":"array","items":{"type":"string","optional":true},"optional":false,"field":"offsets"}',
+]
+_TRANSACTION = [_field("string", "id"), _field("int64", "total_order"), _field("int64", "data_collection_order")]
+
+
+def _struct(fields: list[str], name: str, optional: bool = True) -> str:
+    return f'{{"type":"struct","fields":[{",".join(fields)}],"optional":{str(optional).lower()},"field":"{name}"}}'
+
+
+MESSAGE_SCHEMA = ",".join(
+    [
+        _struct(_ROW, "before"),
+        _struct(_ROW, "after"),
+        _struct(_SOURCE, "source", False),
+        _field("string", "op", False),
+        _field("int64", "ts_ms"),
+        _struct(_TRANSACTION, "transaction"),
+    ]
+)
+
+
 @query(
     "messages_json",
     V
     + f"""SELECT seq,
       '{{"schema":{{"type":"struct","fields":[{{"type":"int64","optional":false,"field":"user_id"}}],"optional":false,"name":"app.shop.user_events.Key"}},"payload":{{"user_id":' || user_id || '}}}}' AS key,
-      '{{"before":null,"after":' || CASE WHEN op = 'd' THEN 'null' ELSE
+      '{{"schema":{{"type":"struct","fields":[{MESSAGE_SCHEMA}],"optional":false,"name":"app.shop.user_events.Envelope"}},"payload":'
+      || '{{"before":null,"after":' || CASE WHEN op = 'd' THEN 'null' ELSE
         '{{"user_id":' || user_id || ',"event_type":"' || event_type || '","value":' || value || ',"props":' || to_json(props) || ',"ts":' || us || '}}' END
       || ',"source":{{"version":"0.1.0","connector":"tidemark","name":"{PREFIX}","ts_ms":' || ms || ',"snapshot":"false","db":"{DB}","sequence":null,"table":"{TABLE}","txId":"'
       || tx || '","partitionId":' || pid || ',"offsets":['
       || array_to_string(list_transform(string_split(offsets, ','), lambda o: CASE WHEN o = 'null' THEN o ELSE '"' || o || '"' END), ',')
-      || ']}},"op":"' || op || '","ts_ms":' || ms || ',"transaction":null}}' AS payload FROM vec""",
+      || ']}},"op":"' || op || '","ts_ms":' || ms || ',"transaction":null}}}}' AS value FROM vec""",
 )
 def messages_json_query(spark, sf_dir):
-    messages = os_.to_messages(events_of(spark, sf_dir), f"{PREFIX}.{DB}.{TABLE}", EVENTS_TABLE)
-    payload = F.substring_index("value", ',"payload":', -1)
-    return messages.select("seq", "key", payload.substr(F.lit(1), F.length(payload) - 1).alias("payload"))
+    return os_.to_messages(events_of(spark, sf_dir), f"{PREFIX}.{DB}.{TABLE}", EVENTS_TABLE).select("seq", "key", "value")
 
 
 @query(
     "write_events",
-    f"""WITH {EVENTS_SQL} SELECT 'app.shop.user_events' AS topic, op, count(*) AS n, min(seq) AS first_seq, max(seq) AS last_seq
-      FROM ev GROUP BY op UNION ALL
-      SELECT 'app.shop.user_events', 'tombstone', count(*), min(seq), max(seq) FROM ev WHERE op = 'd' HAVING count(*) > 0""",
+    V
+    + """SELECT 'app.shop.user_events' AS topic, seq, user_id AS key_user_id, op, offsets,
+        CASE WHEN op <> 'd' THEN event_type END AS after_event_type FROM vec
+      UNION ALL SELECT 'app.shop.user_events', seq, user_id, 'tombstone', NULL, NULL FROM vec WHERE op = 'd'""",
 )
 def write_events_query(spark, sf_dir):
     path = fresh_path(spark, "write-events")
     os_.write_events(cdc_records(events_of(spark, sf_dir), EVENTS_CONFIG), path)
-    written = spark.read.parquet(path)
-    return written.groupBy("topic", F.coalesce("value.op", F.lit("tombstone")).alias("op")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")
+    return spark.read.parquet(path).select(
+        "topic",
+        "seq",
+        F.col("key.user_id").alias("key_user_id"),
+        F.coalesce("value.op", F.lit("tombstone")).alias("op"),
+        fo.format_offsets("value.source.offsets").alias("offsets"),
+        F.col("value.after.event_type").alias("after_event_type"),
     )
 
 
@@ -387,6 +425,30 @@ def offset_vector_256_query(spark, sf_dir):
     return _wide_vector(spark, sf_dir, 256)
 
 
+# Arrival numbers far apart and unevenly so: the cube of the given ones, spread over most of the range of a BIGINT.
+SPARSE = "seq * seq * seq * 4000 - 9000000000000"
+
+
+def _sparse_sql(n: int) -> str:
+    return _wide_sql(n).replace("SELECT seq,", f"SELECT {SPARSE} AS seq,")
+
+
+def _sparse_vector(spark, sf_dir, n: int):
+    rows = event_rows(spark, sf_dir).withColumn("PartitionId", (F.col("user_id") % n).cast("int")).withColumn("seq", F.expr(SPARSE))
+    placed = oo.with_offset_vector(rows, n, bucket_rows=EVENTS_CONFIG.bucket_rows)
+    return placed.select("seq", F.col("PartitionId").alias("partition_id"), F.md5(fo.format_offsets("offsets")).alias("offsets_md5"))
+
+
+@query("offset_vector_sparse", _sparse_sql(8))
+def offset_vector_sparse_query(spark, sf_dir):
+    return _sparse_vector(spark, sf_dir, 8)
+
+
+@query("offset_vector_sparse_64", _sparse_sql(64))
+def offset_vector_sparse_64_query(spark, sf_dir):
+    return _sparse_vector(spark, sf_dir, 64)
+
+
 _STARTED = ", ".join(
     f"coalesce(last_value(CASE WHEN pid = {i} THEN off END IGNORE NULLS) OVER w, {repr(o or 'null')})"
     for i, o in enumerate(START)
@@ -638,9 +700,9 @@ def unchanged_updates_query(spark, sf_dir):
     return oe.drop_unchanged_updates(rows.withColumn("after", F.col("event_type"))).select("seq", "op", "event_type")
 
 
-@query("unchanged_updates_without_before", E + "SELECT op, count(*) AS n FROM ev GROUP BY op")
+@query("unchanged_updates_without_before", E + "SELECT seq, user_id AS key_user_id, op FROM ev")
 def unchanged_updates_without_before_query(spark, sf_dir):
-    return oe.drop_unchanged_updates(events_of(spark, sf_dir)).groupBy("op").agg(F.count(F.lit(1)).alias("n"))
+    return oe.drop_unchanged_updates(events_of(spark, sf_dir)).select("seq", F.col("key.user_id").alias("key_user_id"), "op")
 
 
 @query("drop_empty", E + "SELECT seq, op FROM ev WHERE op <> 'd'")
@@ -662,3 +724,16 @@ def custom_hooks_query(spark, sf_dir):
         source=lambda s: s.withField("tag", F.lit("extra")),
     )
     return events_of(spark, sf_dir, hooks=hooks).select("seq", "topic", "after.event_type", "source.tag")
+
+
+@query("processing_time", E + "SELECT seq, op, true AS within_a_day, true AS same_in_source FROM ev")
+def processing_time_query(spark, sf_dir):
+    """Events stamped by the clock: one moment for the whole run, in the event and in its source."""
+    events = cdc_events(fx.events_changelog(spark, sf_dir), EVENTS_TABLE, EVENTS_CONFIG)
+    now = F.unix_millis(F.current_timestamp())
+    return events.select(
+        "seq",
+        "op",
+        (F.abs(now - F.col("ts_ms")) < 86_400_000).alias("within_a_day"),
+        (F.col("ts_ms") == F.col("source.ts_ms")).alias("same_in_source"),
+    )

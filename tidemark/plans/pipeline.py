@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from ..config import CdcConfig
 from ..functions.events import ts_ms as processing_time
 from ..functions.offsets import to_hex
-from ..functions.types import convert_column, readable
+from ..functions.types import convert_column, readable, semantic_type
 from ..hooks import Hooks
 from ..operators.columns import masked, propagated, selected_columns
 from ..operators.envelope import (
@@ -38,13 +38,15 @@ def row_columns(table: StructType, config: CdcConfig, hooks: Hooks) -> list[Colu
         if f.name not in keep:
             continue
         custom = hooks.converter_for(f.name, config)
+        own = dict(facts.get(f.name, {}))
         if f.name in masks:
             value = masks[f.name]
         elif custom:
             value = custom(F.col(f.name))
         else:
             value = convert_column(f, config)
-        columns.append(value.alias(f.name, metadata=facts[f.name]) if f.name in facts else value.alias(f.name))
+            own.update(semantic_type(f, config))
+        columns.append(value.alias(f.name, metadata=own) if own else value.alias(f.name))
     return columns
 
 
@@ -90,13 +92,13 @@ def cdc_events(
     *,
     snapshot: bool = False,
     start: list[str | None] | None = None,
-    span: tuple[int, int] | None = None,
+    records: int | None = None,
     ts_ms: Column | None = None,
     hooks: Hooks | None = None,
 ) -> DataFrame:
     """Events ``seq, topic, key, before, after, source, op, ts_ms`` of one log.
 
-    ``span`` is the log's first and last ``seq``, if known. The vector is
+    ``records`` is how many data records the log has, if known. The vector is
     attached before operations are skipped, because a skipped event still
     moves it.
     """
@@ -104,7 +106,7 @@ def cdc_events(
     pk = primary_key(table)
     moment = ts_ms if ts_ms is not None else processing_time()
     rows = mark_first(snapshot_rows(log, config.partitions)) if snapshot else drop_markers(log)
-    rows = with_offset_vector(rows, config.partitions, start, span=span, bucket_rows=config.bucket_rows)
+    rows = with_offset_vector(rows, config.partitions, start, records=records, bucket_rows=config.bucket_rows)
     rows = map_op(_apply_failure_mode(rows, table, config, hooks), snapshot)
     rows = rows if snapshot else skip_operations(rows, config.skipped_operations)
     source = source_struct(config, ts_ms=moment, snapshot=F.col("snapshot") if snapshot else "false", strict=True)

@@ -12,7 +12,9 @@ from ..operators import envelope as oe
 from ..operators.offsets import BUCKET_ROWS
 from ..session import fresh_path
 from ..sources.changelog import change_stream
-from ..streaming.runner import Capture, read_events, run_cdc
+from ..config import CdcConfig
+from ..streaming.keyed_log import FileLog
+from ..streaming.runner import Capture, capture, open_changes, read_events, run_cdc
 from ..streaming.table import compact_state, read_state, write_state_batch
 from . import fixtures as fx
 from .event_queries import E, START, V, _BOUND, _STARTED, ts
@@ -33,8 +35,8 @@ def stage_log(spark: SparkSession, log: DataFrame, path: str, chunks: range, tot
         log.where(part == chunk).write.mode("append").parquet(path)
 
 
-def _drain(spark, job: Capture, path: str, **options) -> None:
-    changes = change_stream(spark, path, job.table, max_files=1)
+def _drain(spark, job: Capture, path: str, mixed: bool = False, **options) -> None:
+    changes = open_changes(spark, job, path, mixed, max_files=1)
     started = run_cdc(spark, job, changes, **options)
     if started is not None:
         started.awaitTermination()
@@ -48,12 +50,17 @@ def _records(events: DataFrame) -> DataFrame:
         F.col("value.op").alias("op"),
         F.col("value.ts_ms").alias("ts_ms"),
         format_offsets("value.source.offsets").alias("offsets"),
+        *[F.col(f"value.after.{c}").alias(f"after_{c}") for c in ("user_id", "event_type", "value", "props", "ts")],
+        F.col("value.source.txId").alias("tx"),
     )
 
 
+_AFTER = ", ".join(
+    f"CASE WHEN op <> 'd' THEN {'us' if c == 'ts' else c} END AS after_{c}" for c in ("user_id", "event_type", "value", "props", "ts")
+)
 RECORDS_SQL = (
-    "SELECT seq, user_id AS key_user_id, false AS is_tombstone, op, ms AS ts_ms, offsets FROM vec "
-    "UNION ALL SELECT seq, user_id, true, NULL, NULL, NULL FROM vec WHERE op = 'd'"
+    f"SELECT seq, user_id AS key_user_id, false AS is_tombstone, op, ms AS ts_ms, offsets, {_AFTER}, tx FROM vec "
+    "UNION ALL SELECT seq, user_id, true, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM vec WHERE op = 'd'"
 )
 
 
@@ -152,8 +159,8 @@ def stream_current_state_query(spark, sf_dir):
 class Interrupted(Capture):
     """A job whose second batch dies after its events were written, before its offset is stored."""
 
-    def write(self, events: DataFrame, run: int, batch: int) -> None:
-        super().write(events, run, batch)
+    def write(self, events: DataFrame, run: int, batch: int, part: int = 0) -> None:
+        super().write(events, run, batch, part)
         if batch == 2:
             raise RuntimeError("lost after the write")
 
@@ -169,3 +176,173 @@ def stream_retry_query(spark, sf_dir):
             raise
     _drain(spark, job, log)
     return _records(read_events(spark, job))
+
+
+SHUFFLED = (1, 3, 0, 2)
+
+
+@query("stream_shuffled", V + RECORDS_SQL)
+def stream_shuffled_query(spark, sf_dir):
+    """The files of the log arrive out of order: later ones wait for those that are missing."""
+    job, path = _job(spark, "stream-shuffled", replace(STREAM_CONFIG, arrival_order="hold"))
+    log = fx.events_changelog(spark, sf_dir)
+    for chunk in SHUFFLED:
+        stage_log(spark, log, path, range(chunk, chunk + 1), len(SHUFFLED))
+        _drain(spark, job, path)
+    return _records(read_events(spark, job))
+
+
+@query(
+    "stream_gaps",
+    f"""WITH sizes AS (SELECT max(event_id) + 1 AS top FROM events),
+      chunks AS (SELECT (event_id * {len(SHUFFLED)}) // top AS chunk, min(event_id) AS low, max(event_id) AS high
+        FROM events, sizes GROUP BY 1)
+      SELECT 1::BIGINT AS batch, low AS gap_begin, high AS gap_end FROM chunks WHERE chunk = 0
+      UNION ALL SELECT 2, low, high FROM chunks WHERE chunk IN (0, 2) UNION ALL SELECT 3, low, high FROM chunks WHERE chunk = 2""",
+)
+def stream_gaps_query(spark, sf_dir):
+    """What each batch of the shuffled log still waits for."""
+    job, path = _job(spark, "stream-gaps", replace(STREAM_CONFIG, arrival_order="hold"))
+    log = fx.events_changelog(spark, sf_dir)
+    for chunk in SHUFFLED:
+        stage_log(spark, log, path, range(chunk, chunk + 1), len(SHUFFLED))
+        _drain(spark, job, path)
+    found = spark.read.parquet(f"{job.out}/gaps")
+    return found.select(F.col("batch").cast("bigint").alias("batch"), "gap_begin", "gap_end")
+
+
+# A job as its options file gives it.
+JOB_OPTIONS = {
+    "topic.prefix": fx.PREFIX,
+    "database.dbname": fx.DB,
+    "database.table": fx.TABLE,
+    "database.partitions": str(fx.PARTITIONS),
+    "snapshot.mode": "no_data",
+    "custom.metric.tags": "env=prod,team=data",
+}
+CHUNK_SQL = f"(seq * {CHUNKS}) // (SELECT max(event_id) + 1 FROM events)"
+
+
+def _part_size(spark, sf_dir) -> int:
+    """A size that cuts every batch in a few parts, whatever the table's size."""
+    return max(1, fx.load(spark, sf_dir, "events").count() // (CHUNKS * 4))
+
+
+@dataclass(frozen=True)
+class Cut(Capture):
+    """A job that dies once inside its second batch, after a part was written and before its offset is stored."""
+
+    def write(self, events: DataFrame, run: int, batch: int, part: int = 0) -> None:
+        super().write(events, run, batch, part)
+        if (batch, part) == (2, 1):
+            raise RuntimeError("lost after the write")
+
+
+@query(
+    "stream_event_batches",
+    V
+    + f""", sized AS (SELECT greatest(1, count(*) // {CHUNKS * 4}) AS most FROM events),
+      placed AS (SELECT *, {CHUNK_SQL} + 1 AS batch FROM vec),
+      parts AS (SELECT *, (row_number() OVER (PARTITION BY batch ORDER BY seq) - 1) // most AS part FROM placed, sized)
+      SELECT seq, batch::BIGINT AS batch, part::BIGINT AS part, op, offsets FROM parts""",
+)
+def stream_event_batches_query(spark, sf_dir):
+    """Micro-batches cut into parts of at most so many events; a job that dies between two parts goes on after the last."""
+    options = {**JOB_OPTIONS, "max.batch.size": str(_part_size(spark, sf_dir)), "tombstones.on.delete": "false"}
+    job, log = _job(spark, "stream-parts", CdcConfig.from_options(options))
+    stage_log(spark, fx.events_changelog(spark, sf_dir), log, range(CHUNKS))
+    try:
+        _drain(spark, Cut(job.config, job.table, job.out, job.state, ts_ms=job.ts_ms), log)
+    except StreamingQueryException as problem:
+        if "lost after the write" not in str(problem):
+            raise
+    _drain(spark, job, log)
+    place = [F.col(c).cast("bigint").alias(c) for c in ("batch", "part")]
+    return read_events(spark, job).select("seq", *place, "value.op", format_offsets("value.source.offsets").alias("offsets"))
+
+
+@dataclass(frozen=True)
+class Broken(FileLog):
+    """A log that takes a share of one part's messages and then fails, once."""
+
+    part: str = "0:2:0"
+
+    def append(self, messages: DataFrame) -> None:
+        if messages.where(F.col("part") == self.part).limit(1).count() == 0:
+            return super().append(messages)
+        super().append(messages.where("seq % 3 = 0"))
+        raise RuntimeError("the log went away")
+
+
+@query(
+    "stream_keyed_log",
+    E
+    + """SELECT seq, 'app.shop.user_events' AS topic, user_id AS key_user_id, is_tombstone, op, 1::BIGINT AS copies
+      FROM (SELECT seq, user_id, false AS is_tombstone, op FROM ev UNION ALL SELECT seq, user_id, true, NULL FROM ev WHERE op = 'd')""",
+)
+def stream_keyed_log_query(spark, sf_dir):
+    """Messages of a keyed log that failed halfway through a part: each is there once."""
+    job, path = _job(spark, "stream-log")
+    log = FileLog(f"{path}-messages")
+    stage_log(spark, fx.events_changelog(spark, sf_dir), path, range(CHUNKS))
+    try:
+        _drain(spark, replace(job, log=Broken(log.path)), path)
+    except StreamingQueryException as problem:
+        if "the log went away" not in str(problem):
+            raise
+    _drain(spark, replace(job, log=log), path)
+    sent = log.read(spark)
+    own = [F.get_json_object("key", "$.payload.user_id").cast("bigint").alias("key_user_id"), F.get_json_object("value", "$.payload.op").alias("op")]
+    return sent.groupBy("seq", "topic", *own, "is_tombstone").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query(
+    "stream_metrics",
+    E
+    + f"""SELECT ({CHUNK_SQL} + 1)::BIGINT AS batch, count(*) AS total_events, count(*) FILTER (op = 'c') AS total_creates,
+      count(*) FILTER (op = 'u') AS total_updates, count(*) FILTER (op = 'd') AS total_deletes, 'prod' AS tag_env, 'data' AS tag_team
+      FROM ev GROUP BY 1""",
+)
+def stream_metrics_query(spark, sf_dir):
+    """Counters of each batch of a running job, with the tags of its options."""
+    job, log = _job(spark, "stream-metrics", CdcConfig.from_options(JOB_OPTIONS))
+    stage_log(spark, fx.events_changelog(spark, sf_dir), log, range(CHUNKS))
+    _drain(spark, job, log)
+    rows = spark.read.parquet(f"{job.out}/metrics")
+    counters = ["total_events", "total_creates", "total_updates", "total_deletes"]
+    tags = [F.col("tags")[t].alias(f"tag_{t}") for t in ("env", "team")]
+    return rows.select(F.col("batch").cast("bigint").alias("batch"), *counters, *tags)
+
+
+# The catalog's rows for the events table.
+EVENTS_COLUMNS = [
+    ("user_id", "BIGINT", 1, False, None, True),
+    ("event_type", "VARCHAR(20)", 2, True, 20, False),
+    ("value", "DOUBLE", 3, True, None, False),
+    ("props", "JSON", 4, True, None, False),
+    ("ts", "DATETIME(6)", 5, True, 26, False),
+]
+
+
+@query("stream_from_options", V + RECORDS_SQL)
+def stream_from_options_query(spark, sf_dir):
+    """A job from its options and the catalog alone, over a log that holds other tables and databases too."""
+    root = fresh_path(spark, "stream-options")
+    columns = spark.createDataFrame(
+        EVENTS_COLUMNS, "column_name string, type_name string, position int, nullable boolean, length int, primary_key boolean"
+    )
+    known = fx.load(spark, sf_dir, "events").select((F.col("user_id") % fx.PARTITIONS + 1).alias("num_partitions"))
+    options = {k: v for k, v in JOB_OPTIONS.items() if k != "database.partitions"}
+    job = capture(options, columns, known, f"{root}/out", f"{root}/state", ts_ms=ts())
+    log = fx.events_changelog(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")).withColumn("db", F.lit(fx.DB))
+    others = [
+        log.withColumn("Table", F.lit("other")),
+        log.withColumn("db", F.lit("elsewhere")),
+        log.withColumn("db", F.lit("cluster")),
+        log.withColumn("db", F.lit(None).cast("string")),
+    ]
+    for other in others:
+        log = log.unionByName(other)
+    stage_log(spark, log, f"{root}/log", range(CHUNKS))
+    _drain(spark, job, f"{root}/log", mixed=True)
+    return _records(read_events(spark, job))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DateType, DecimalType, LongType, StringType, StructField, StructType, TimestampNTZType
 
+from ..config import TIME_MODES, CdcConfig
 from ..functions import binary as fb
 from ..functions import defaults as fd
 from ..functions import geography as fg
@@ -16,8 +20,11 @@ from ..functions import vector as fv
 from ..functions.offsets import to_hex
 from ..operators import columns as oc
 from ..operators import envelope as oe
+from ..operators import sinks as os_
+from ..sources import catalog
 from . import fixtures as fx
 from .fixtures import CUSTOMER_CONFIG
+from .pipeline import cdc_events
 from .registry import query
 from .snapshot_queries import CUSTOMER_TABLE
 
@@ -464,3 +471,127 @@ def failure_mode_fail_query(spark, sf_dir):
     rows = fx.load(spark, sf_dir, "customer").withColumn("raw", _wkt())
     good, _ = oe.failure_mode(rows, {"wkb": (F.col("raw"), to_hex(fg.wkt_to_wkb("raw")))}, "fail")
     return good.select("c_custkey", "wkb")
+
+
+# A table with every type whose message form is an encoded number.
+ORDERS_TABLE = StructType(
+    [
+        StructField("o_orderkey", LongType(), False, {"type": "BIGINT", "primary_key": True}),
+        StructField("price", DecimalType(15, 2), True, {"type": "DECIMAL(15,2)"}),
+        StructField("wide", DecimalType(30, 4), True, {"type": "DECIMAL(30,4)"}),
+        StructField("day", DateType(), True, {"type": "DATE"}),
+        StructField("clock", StringType(), True, {"type": "TIME(6)", "length": 17}),
+        StructField("moment", TimestampNTZType(), True, {"type": "DATETIME(6)", "length": 26}),
+        StructField("second", TimestampNTZType(), True, {"type": "DATETIME", "length": 19}),
+    ]
+)
+ORDERS_CONFIG = CdcConfig(topic_prefix="app", db="shop", table="orders", partitions=fx.PARTITIONS, semantic_prefix="app.time")
+
+
+def _orders_log(spark, sf_dir) -> DataFrame:
+    orders = fx.load(spark, sf_dir, "orders")
+    price = F.col("o_totalprice").cast("decimal(15,2)") - 150000
+    micros = F.unix_micros(F.col("o_orderdate").cast("timestamp")) + (F.col("o_custkey") % 86400) * 1000000 + F.col("o_orderkey") % 1000000
+    moment = F.timestamp_micros(micros).cast("timestamp_ntz")
+    key = F.col("o_orderkey")
+    return orders.select(
+        *fx._log_columns(key, (key % fx.PARTITIONS), F.lit("Insert"), key, "orders"),
+        "o_orderkey",
+        price.cast("decimal(15,2)").alias("price"),
+        (price * 1000).cast("decimal(30,4)").alias("wide"),
+        F.col("o_orderdate").cast("date").alias("day"),
+        F.concat((F.col("o_custkey") % 24).cast("string"), F.lit(":15:30.25")).alias("clock"),
+        moment.alias("moment"),
+        moment.alias("second"),
+    )
+
+
+def _orders_schema(mode: str) -> str:
+    connect = mode == "connect"
+    logical = "org.apache.kafka.connect.data."
+    decimal = [("price", 15, 2), ("wide", 30, 4)]
+    rows = [{"type": "int64", "optional": False, "field": "o_orderkey"}]
+    for name, precision, scale in decimal:
+        facts = {"scale": str(scale), "connect.decimal.precision": str(precision)}
+        rows.append({"type": "bytes", "optional": True, "name": f"{logical}Decimal", "version": 1, "parameters": facts, "field": name})
+    if connect:
+        rows.append({"type": "int32", "optional": True, "name": f"{logical}Date", "version": 1, "field": "day"})
+        rows.append({"type": "int64", "optional": True, "field": "clock"})
+        rows += [{"type": "int64", "optional": True, "name": f"{logical}Timestamp", "version": 1, "field": f} for f in ("moment", "second")]
+    else:
+        names = {"day": "Date", "clock": "MicroTime", "moment": "MicroTimestamp", "second": "Timestamp"}
+        for field, name in names.items():
+            kind = "int32" if field == "day" else "int64"
+            rows.append({"type": kind, "optional": True, "field": field, "name": f"app.time.{name}", "version": 1})
+    return json.dumps({"type": "struct", "fields": rows, "optional": True, "field": "after"}, separators=(",", ":"))
+
+
+def _bytes_sql(number: str) -> str:
+    size = f"list_filter(range(1, 9), lambda k: {number}::HUGEINT >= -(1::HUGEINT << (8 * k - 1)) AND {number}::HUGEINT < (1::HUGEINT << (8 * k - 1)))[1]"
+    return f"to_base64(unhex(right(lpad(hex({number}), 16, '0'), (2 * {size})::INT)))"
+
+
+def _orders_sql(mode: str) -> str:
+    connect = mode == "connect"
+    return f"""SELECT o_orderkey, '{mode}' AS mode, '{_orders_schema(mode)}' AS after_schema,
+      '{{"o_orderkey":' || o_orderkey || ',"price":"' || price || '","wide":"' || wide || '","day":' || day
+      || ',"clock":' || {"clock // 1000" if connect else "clock"} || ',"moment":' || {"micros // 1000" if connect else "micros"}
+      || ',"second":' || micros // 1000 || '}}' AS after
+      FROM encoded"""
+
+
+@query(
+    "messages_types",
+    f"""WITH raw AS (
+      SELECT o_orderkey, (o_totalprice::DECIMAL(15,2) * 100)::BIGINT - 15000000 AS n, (o_orderdate::DATE - DATE '1970-01-01')::BIGINT AS day,
+        (o_custkey % 24) * 3600000000 + 930250000 AS clock,
+        epoch_us(o_orderdate::TIMESTAMP) + (o_custkey % 86400) * 1000000 + o_orderkey % 1000000 AS micros FROM orders),
+      wider AS (SELECT *, n * 100000 AS w FROM raw),
+      encoded AS (SELECT o_orderkey, {_bytes_sql("n")} AS price, {_bytes_sql("w")} AS wide, day, clock, micros FROM wider)
+      {" UNION ALL ".join(_orders_sql(m) for m in TIME_MODES)}""",
+)
+def messages_types_query(spark, sf_dir):
+    """Decimals, dates, times and timestamps in messages: the payload and the schema it must fit, in each mode."""
+    log = _orders_log(spark, sf_dir)
+    frames = []
+    for mode in TIME_MODES:
+        config = replace(ORDERS_CONFIG, time_mode=mode)
+        events = cdc_events(log, ORDERS_TABLE, config, ts_ms=F.lit(1).cast("bigint"))
+        messages = os_.to_messages(events, "app.shop.orders", ORDERS_TABLE)
+        frames.append(
+            messages.select(
+                F.get_json_object("key", "$.payload.o_orderkey").cast("bigint").alias("o_orderkey"),
+                F.lit(mode).alias("mode"),
+                F.get_json_object("value", "$.schema.fields[1]").alias("after_schema"),
+                F.get_json_object("value", "$.payload.after").alias("after"),
+            )
+        )
+    return reduce(DataFrame.unionByName, frames)
+
+
+# A catalog made of the part table: one column for each brand and size class, with a type by its number.
+CATALOG_TYPES = ["BIGINT", "DECIMAL(15,2)", "DATE", "VARCHAR(20)", "DATETIME(6)", "BIT(64)", "VECTOR(4, F32)"]
+CATALOG_SPARK = ["bigint", "decimal(15,2)", "date", "string", "timestamp", "binary", "array<float>"]
+
+
+@query(
+    "table_schema",
+    f"""WITH cols AS (SELECT r_regionkey * 100 + n_nationkey AS position, n_name AS name,
+        n_nationkey = 3 AS pk, n_nationkey % {len(CATALOG_TYPES)} AS k FROM nation JOIN region ON n_regionkey = r_regionkey)
+      SELECT (row_number() OVER (ORDER BY position))::INTEGER AS place, name AS column_name,
+        {CATALOG_SPARK!r}[k + 1] AS spark_type, {CATALOG_TYPES!r}[k + 1] AS source_type, NOT pk AS nullable, pk AS is_key FROM cols""",
+)
+def table_schema_query(spark, sf_dir):
+    """The schema built from a catalog with one row per column."""
+    nation, region = fx.load(spark, sf_dir, "nation"), fx.load(spark, sf_dir, "region")
+    kind = F.array(*[F.lit(t) for t in CATALOG_TYPES])[(F.col("n_nationkey") % len(CATALOG_TYPES)).cast("int")]
+    columns = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_name").alias("column_name"),
+        kind.alias("type_name"),
+        (F.col("r_regionkey") * 100 + F.col("n_nationkey")).alias("position"),
+        (F.col("n_nationkey") == 3).alias("primary_key"),
+    )
+    table = catalog.table_schema(columns)
+    keys = catalog.primary_key(table)
+    rows = [(i + 1, f.name, f.dataType.simpleString(), f.metadata["type"], f.nullable, f.name in keys) for i, f in enumerate(table.fields)]
+    return spark.createDataFrame(rows, "place int, column_name string, spark_type string, source_type string, nullable boolean, is_key boolean")

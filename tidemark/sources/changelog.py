@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..logschema import raw_log_schema
 from ..operators.offsets import begin_at
 from ..operators.snapshot import snapshot_rows
+from .observe import table_filter
 
 
 def read_log(spark: SparkSession, path: str, table: StructType, fmt: str = "parquet") -> DataFrame:
@@ -36,12 +37,17 @@ def change_stream(
     fmt: str = "parquet",
     max_files: int | None = None,
     max_records: int | None = None,
+    max_bytes: int | None = None,
     glob: str | None = None,
+    of: tuple[str, str] | None = None,
 ) -> DataFrame:
     """The unbounded read, from a vector of offsets.
 
-    A folder is read file by file, at most ``max_files`` per batch; Kafka
-    messages (see :func:`parse_records`) at most ``max_records`` per batch.
+    ``of`` names a database and table where the log holds several: records then carry
+    their database in a column ``db``, and those of other tables are left out.
+
+    A folder is read file by file, at most ``max_files`` or files of ``max_bytes``
+    per batch; Kafka messages (see :func:`parse_records`) at most ``max_records``.
     """
     if kafka is not None:
         reader = spark.readStream.format("kafka").options(**kafka).option("failOnDataLoss", "true")
@@ -49,10 +55,17 @@ def change_stream(
             reader = reader.option("maxOffsetsPerTrigger", str(max_records))
         log = parse_records(reader.load(), table)
     else:
-        reader = spark.readStream.format(fmt).schema(raw_log_schema(table))
+        schema = raw_log_schema(table)
+        if of is not None:
+            schema = StructType([*schema.fields, StructField("db", StringType())])
+        reader = spark.readStream.format(fmt).schema(schema)
         if max_files:
             reader = reader.option("maxFilesPerTrigger", str(max_files))
+        elif max_bytes:
+            reader = reader.option("maxBytesPerTrigger", str(max_bytes))
         if glob:
             reader = reader.option("pathGlobFilter", glob)
         log = reader.load(path)
+        if of is not None:
+            log = table_filter(log, *of).drop("db")
     return begin_at(log, offsets) if offsets else log

@@ -1,21 +1,37 @@
-"""Where a job starts: the decision rules, stored offsets, staleness."""
+"""Where a job starts: the decision rules and staleness."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..config import SNAPSHOT_MODES, CdcConfig
-from ..functions.offsets import format_offsets, no_offset, parse_offsets, vector_literal
+from ..functions.offsets import no_offset, vector_literal
 from ..operators.offsets import vectors_stale
+from .offset_log import Offset, load_offset, loaded_offset, save_offset, stored_offset
 
-# Fixed value: one stored offset.
-STORED = "txId string, offsets string, snapshot boolean, partitionId int, snapshot_completed boolean"
+__all__ = [
+    "Offset", "StaleOffsetError", "StartPlan", "check_retained", "load_offset", "loaded_offset", "merge_vectors", "normal_mode",
+    "plan_start", "save_offset", "start_decision", "stored_offset",
+]
 
 
 class StaleOffsetError(RuntimeError):
-    """The log no longer reaches back to the offset to start from. Not worth a retry."""
+    """The log no longer reaches back to the offset to go on from. Not worth a retry."""
+
+
+def _stale(vector: list[str | None]) -> StaleOffsetError:
+    return StaleOffsetError(
+        f"the offset {','.join(o or 'null' for o in vector)} is considered stale; take a new snapshot or use the mode when_needed"
+    )
+
+
+def check_retained(vector: list[str | None], oldest: DataFrame) -> None:
+    """Raises when a partition's oldest offset still held lies after the one in ``vector``: records between are lost."""
+    row = oldest.select(vectors_stale(vector_literal(vector), F.col("offsets")).alias("stale")).first()
+    if row is not None and row["stale"]:
+        raise _stale(vector)
 
 
 def normal_mode(mode: Column) -> Column:
@@ -56,97 +72,6 @@ def merge_vectors(base: Column, over: Column) -> Column:
     return F.zip_with(base, over, lambda b, o: F.coalesce(o, b))
 
 
-def stored_offset(
-    tx_id: Column, offsets: Column, partition_id: Column, snapshot: Column, completed: Column
-) -> Column:
-    """An offset in the form it is stored: joined text; the snapshot flag only while true."""
-    return F.struct(
-        tx_id.alias("txId"),
-        format_offsets(offsets).alias("offsets"),
-        F.when(snapshot, F.lit(True)).alias("snapshot"),
-        partition_id.cast("int").alias("partitionId"),
-        completed.alias("snapshot_completed"),
-    )
-
-
-def loaded_offset(stored: Column) -> Column:
-    """A stored offset as values: the vector as an array, missing flags as false."""
-    return F.struct(
-        stored["txId"].alias("txId"),
-        parse_offsets(stored["offsets"]).alias("offsets"),
-        stored["partitionId"].cast("int").alias("partitionId"),
-        F.coalesce(stored["snapshot"], F.lit(False)).alias("snapshot"),
-        F.coalesce(stored["snapshot_completed"], F.lit(False)).alias("snapshot_completed"),
-    )
-
-
-@dataclass(frozen=True)
-class Offset:
-    """A loaded offset on the driver: one value per database partition."""
-
-    vector: list[str | None]
-    tx_id: str | None = None
-    partition_id: int | None = None
-    snapshot: bool = False
-    completed: bool = True
-    run: int = 0
-    batch: int = 0
-
-    @property
-    def finished(self) -> bool:
-        """No snapshot is under way."""
-        return not (self.snapshot and not self.completed)
-
-
-def _folder(state: str, run: int, batch: int) -> str:
-    return f"{state}/offsets/run={run}/batch={batch}"
-
-
-def save_offset(spark: SparkSession, state: str, offset: Offset) -> None:
-    """Writes one offset; writing the same run and batch again replaces it."""
-    row = spark.range(1).select(
-        stored_offset(
-            F.lit(offset.tx_id).cast("string"),
-            vector_literal(offset.vector),
-            F.lit(offset.partition_id).cast("int"),
-            F.lit(offset.snapshot),
-            F.lit(offset.completed),
-        ).alias("o")
-    )
-    row.select("o.*").coalesce(1).write.mode("overwrite").parquet(_folder(state, offset.run, offset.batch))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema(STORED).parquet(path).schema
-        return True
-    except Exception as problem:  # the class differs between classic and remote sessions
-        if "PATH_NOT_FOUND" in str(problem):
-            return False
-        raise
-
-
-def load_offset(spark: SparkSession, state: str, run: int | None = None, batch: int | None = None) -> Offset | None:
-    """The newest stored offset, or that of a given run and batch."""
-    exact = run is not None and batch is not None
-    path = _folder(state, run, batch) if exact else f"{state}/offsets"
-    if not _exists(spark, path):
-        return None
-    schema = STORED if exact else STORED + ", run int, batch int"
-    rows = spark.read.schema(schema).parquet(path)
-    if exact:
-        newest = rows.withColumns({"run": F.lit(run), "batch": F.lit(batch)})
-    else:
-        newest = rows.orderBy(F.desc("run"), F.desc("batch")).limit(1)
-    found = newest.select(loaded_offset(F.struct("*")).alias("o"), "run", "batch").first()
-    if found is None:
-        return None
-    o: Row = found["o"]
-    return Offset(
-        list(o["offsets"]), o["txId"], o["partitionId"], o["snapshot"], o["snapshot_completed"], found["run"], found["batch"]
-    )
-
-
 @dataclass(frozen=True)
 class StartPlan:
     """The outcome of a start decision."""
@@ -196,8 +121,5 @@ def plan_start(
     )
     decision = row["d"]
     if decision["fail"] or row["late"]:
-        raise StaleOffsetError(
-            f"the offset {','.join(o or 'null' for o in row['begin'])} is considered stale; "
-            "take a new snapshot or use the mode when_needed"
-        )
+        raise _stale(row["begin"])
     return StartPlan(decision["snapshot"], decision["stream"], decision["start"], list(row["begin"]))
