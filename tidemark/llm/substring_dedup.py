@@ -8,7 +8,9 @@
    statistics stream (``run_index``).
 3. An anchor with very many different segments (the edge of a passage that a large
    share of documents quote) is not gathered: its windows are hashed and counted,
-   which folds before the shuffle. This finds the same windows.
+   which folds before the shuffle. Blocks of neighbouring windows come first, as runs;
+   single windows are looked at only where a block is not repeated as a whole. This
+   finds the same windows.
 4. Repeated windows return to their documents, which are cut.
 
 The texts are shuffled twice, by document; everything else is narrow or repeated.
@@ -143,8 +145,9 @@ NEIGHBOURS = 32
 
 
 def _shared_blocks(hot: DataFrame, params: SubstringParams) -> DataFrame:
-    """``row, content, start, rows, bytes``: blocks of neighbouring windows whose common bytes occur twice at the same place
-    from the anchor. Equal windows are in such blocks; of the windows around a quoted passage few are."""
+    """``row, content, start, rows, bytes, u1, u2``: blocks of neighbouring windows whose common bytes occur twice at the same
+    place from the anchor, and a hash of all their bytes. Equal windows are in such blocks; of the windows around a quoted
+    passage few are."""
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -157,22 +160,36 @@ def _shared_blocks(hot: DataFrame, params: SubstringParams) -> DataFrame:
                 # Windows that begin between these two places; both ends of their common bytes follow from the block.
                 low, high = max(anchor - (block + 1) * NEIGHBOURS + 1, 0), min(anchor - block * NEIGHBOURS, last)
                 core = anchor - block * NEIGHBOURS, anchor - (block + 1) * NEIGHBOURS + 1 + params.window
-                digest = hashlib.blake2b(piece[core[0] : core[1]], digest_size=16, key=b"%d %d" % (name, block)).digest()
-                out.append((row, content, start + low, rows, piece[low : high + params.window], *np.frombuffer(digest, np.int64).tolist()))
-        columns = zip(*out, strict=True) if out else [()] * 7
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-        labels = ["row", "content", "start", "rows", "bytes", "c1", "c2"]
+                key, whole = b"%d %d" % (name, block), piece[low : high + params.window]
+                digest = hashlib.blake2b(piece[core[0] : core[1]], digest_size=16, key=key).digest()
+                digest += hashlib.blake2b(whole, digest_size=16, key=b"%s %d" % (key, anchor - low)).digest()
+                out.append((row, content, start + low, rows, whole, *np.frombuffer(digest, np.int64).tolist()))
+        columns = zip(*out, strict=True) if out else [()] * 9
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), *[pa.int64()] * 4]
+        labels = ["row", "content", "start", "rows", "bytes", "c1", "c2", "u1", "u2"]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], labels)
 
-    schema = "row long, content long, start int, rows long, bytes binary, c1 long, c2 long"
+    schema = "row long, content long, start int, rows long, bytes binary, c1 long, c2 long, u1 long, u2 long"
     blocks = map_batches(hot.select("row", "content", "name", "start", "rows", "bytes"), step, schema, "bytes", 256 << 10)
     blocks = written(blocks, "blocks")
     shared = blocks.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("c1", "c2")
-    return blocks.join(written(shared, "shared"), ["c1", "c2"], "left_semi")
+    return blocks.join(written(shared, "shared"), ["c1", "c2"], "left_semi").drop("c1", "c2")
+
+
+def _whole_blocks(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Spans of blocks that repeat as a whole, one for each; and one of each different block, ``rows`` as often as it occurs."""
+    blocks = written(blocks, "shared-blocks")
+    place = F.min(F.struct("row", "content", "start")).alias("place")
+    folded = blocks.groupBy("u1", "u2").agg(F.sum("rows").alias("rows"), place, F.any_value("bytes").alias("bytes"))
+    folded = written(folded.select("u1", "u2", "rows", "place.*", "bytes"), "different-blocks")
+    repeated = written(folded.where("rows > 1").select("u1", "u2"), "repeated-blocks")
+    found = blocks.where("rows = 1").join(repeated, ["u1", "u2"], "left_semi")
+    spans = found.select("row", "content", F.col("start").alias("begin"), (F.col("start") + F.length("bytes")).alias("end"))
+    return spans, folded
 
 
 def _count_windows(hot: DataFrame, params: SubstringParams) -> DataFrame:
-    """Spans found by counting 128-bit hashes of whole windows. Segments that repeat as a whole are counted, but found already."""
+    """Spans found by counting 128-bit hashes of whole windows. Blocks that repeat as a whole are counted, but found already."""
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         pieces = batch.column("bytes").to_pylist()
@@ -209,11 +226,12 @@ def repeated_spans(rows: DataFrame, params: SubstringParams) -> DataFrame:
     different = sizes.groupBy("name").agg(F.count(F.lit(1)).alias("different")).where("different > 1")
     known = sizes.join(written(different, "different"), "name")
     held = cuts.where("bytes is not null").join(known, ["name", "s1", "s2"])
+    # One of each segment, however many batches sent its bytes; one that occurs more than once is found already.
+    held = written(held.dropDuplicates(["name", "s1", "s2"]), "held")
     few = _index_blocks(held.where(F.col("different") <= params.gathered), params)
-    # One of each segment, however many batches sent its bytes; its windows count as often as it occurs.
-    hot = held.where(F.col("different") > params.gathered).dropDuplicates(["name", "s1", "s2"])
-    many = _shared_blocks(hot, params)
-    return spans.union(few).union(_count_windows(many, params))
+    hot = held.where(F.col("different") > params.gathered)
+    runs, blocks = _whole_blocks(_shared_blocks(hot, params))
+    return spans.union(few).union(runs).union(_count_windows(blocks, params))
 
 
 def substring_dedup(docs: DataFrame, params: SubstringParams = SubstringParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
