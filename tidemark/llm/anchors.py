@@ -24,7 +24,7 @@ _BACK = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
 
 
-def _power(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     """The first n powers of a base modulo 2^64, kept at the largest size asked for."""
     known = _powers.get(base)
     if known is None or len(known) < n:
@@ -37,8 +37,8 @@ def _power(base: int, n: int) -> np.ndarray:
 def gram_hashes(data: np.ndarray, size: int = GRAM) -> np.ndarray:
     """A 64-bit hash of each gram of ``size`` bytes, by differences of one running sum."""
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_TABLE[data] * _power(_BASE, len(data)), out=sums[1:], dtype=np.uint64)
-    x = (sums[size:] - sums[:-size]) * _power(_BACK, len(data) + 1 - size)
+    np.cumsum(_TABLE[data] * powers(_BASE, len(data)), out=sums[1:], dtype=np.uint64)
+    x = (sums[size:] - sums[:-size]) * powers(_BACK, len(data) + 1 - size)
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     return x ^ (x >> np.uint64(27))
 

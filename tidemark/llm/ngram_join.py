@@ -33,13 +33,17 @@ from .shingles import compact, most_common, set_name, shingle_sets
 @dataclass(frozen=True)
 class JoinParams:
     """``percent``: the similarity from which sets link. ``frequent``: documents from which a shingle goes last in the
-    order; of those the ``most_frequent`` first ones, which bounds what is sent to the tasks. Any choice gives the same links."""
+    order; of those the ``most_frequent`` first ones, which bounds what is sent to the tasks. ``star_rounds`` come before the
+    product, and more of them, up to ``most_rounds``, while its lists would give over ``crowd`` pairs for each of their rows.
+    Any choice gives the same links."""
 
     words: int = 4
     percent: int = 85
     frequent: int = 4
     most_frequent: int = 1_000_000
     star_rounds: int = 2
+    most_rounds: int = 8
+    crowd: int = 4
     broadcast_classes: int = 500_000
 
 
@@ -88,23 +92,27 @@ def _frequent(texts: DataFrame, params: JoinParams) -> np.ndarray:
     """Keys of the most frequent shingles, sorted: of those that repeat within a chunk of neighbouring documents, the ones
     that do so most often over all documents. A shingle that a share of the documents has repeats in nearly every chunk."""
 
-    def repeated(held: list[np.ndarray]) -> pa.RecordBatch:
-        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+    def repeated(held: np.ndarray) -> pa.RecordBatch:
+        held.sort()
+        begin = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
+        counts = np.diff(np.append(begin, len(held)))
         again = counts > 1
-        return pa.RecordBatch.from_arrays([pa.array(keys[again]), pa.array(counts[again])], ["key", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(held[begin[again]]), pa.array(counts[again])], ["key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
+        held, size = np.empty(CHUNK, np.int64), 0
         for batch in batches:
             for part in pieces(batch, "text", SLICE):
-                held += [_key(s) for s in _sets_of(part, params)]
-                size += sum(map(len, held[-part.num_rows :]))
-                if size >= CHUNK:
-                    yield repeated(held)
-                    held, size = [], 0
-        if held:
-            yield repeated(held)
+                for keys in map(_key, _sets_of(part, params)):
+                    while len(keys):
+                        taken = min(len(keys), CHUNK - size)
+                        held[size : size + taken] = keys[:taken]
+                        keys, size = keys[taken:], size + taken
+                        if size == CHUNK:
+                            yield repeated(held)
+                            size = 0
+        if size:
+            yield repeated(held[:size])
 
     partial = texts.select("text").mapInArrow(run, "key long, n long")
     counts = partial.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= params.frequent)
@@ -122,12 +130,12 @@ def _classes(texts: DataFrame, keys: np.ndarray, params: JoinParams) -> DataFram
             heads.append(_prefix(values, keys, params.percent))
         offsets = pa.array(np.cumsum([0, *map(len, heads)]).astype(np.int32))
         prefix = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(heads) if heads else np.zeros(0, np.int64)))
-        names = pa.array([set_name(s) if len(s) else None for s in sets], pa.int64())
+        names = pa.array([set_name(s) if len(s) else None for s in sets], pa.binary())
         sizes = pa.array([len(s) for s in sets], pa.int32())
         yield pa.RecordBatch.from_arrays([batch.column("id"), names, sizes, prefix], ["id", "name", "n", "prefix"])
 
     kind = dict(texts.dtypes)["id"]
-    return written(map_batches(texts, step, f"id {kind}, name long, n int, prefix array<long>", "text", SLICE), "classes")
+    return written(map_batches(texts, step, f"id {kind}, name binary, n int, prefix array<long>", "text", SLICE), "classes")
 
 
 def _incidence(classes: DataFrame) -> DataFrame:
@@ -183,6 +191,13 @@ def _star(rows: DataFrame, params: JoinParams, step: int) -> DataFrame:
     return pairs.select(F.col("p.name").alias("a"), F.col("name").alias("b"), n.alias("n_a"), n_b.alias("n_b")).distinct()
 
 
+def _crowded(rows: DataFrame, params: JoinParams) -> bool:
+    """Whether the lists are so long that pairs would far outnumber their rows."""
+    sizes = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    total = sizes.agg(F.sum("n").alias("rows"), F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs")).first()
+    return (total["pairs"] or 0) > params.crowd * (total["rows"] or 0)
+
+
 def _product(rows: DataFrame, params: JoinParams) -> DataFrame:
     """``a, b`` and their sizes: pairs of different components whose overlap may reach the threshold.
 
@@ -216,10 +231,10 @@ def _sets(texts: DataFrame, classes: DataFrame, pairs: DataFrame, params: JoinPa
         sets = _sets_of(batch, params)
         # Rows that repeat the id with another text are not the class's document.
         own = [i for i, s in enumerate(sets) if len(s) and set_name(s) == names[i]]
-        columns = [pa.array([names[i] for i in own], pa.int64()), pa.array([as_bytes(sets[i]) for i in own], pa.binary())]
+        columns = [pa.array([names[i] for i in own], pa.binary()), pa.array([as_bytes(sets[i]) for i in own], pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, ["name", "set"])
 
-    return written(map_batches(found, step, "name long, set binary", "text", SLICE), "sets").dropDuplicates(["name"])
+    return written(map_batches(found, step, "name binary, set binary", "text", SLICE), "sets").dropDuplicates(["name"])
 
 
 def _reach(
@@ -235,7 +250,7 @@ def _reach(
         good = [i for i, s in enumerate(same) if 100 * s >= params.percent * (n_a[i] + n_b[i] - s)]
         yield batch.select(["a", "b", "n_a", "n_b"]).take(pa.array(good, pa.int64()))
 
-    return map_batches(both.select("a", "b", "n_a", "n_b", "set_a", "set_b"), step, "a long, b long, n_a int, n_b int", "set_a", 8 << 20)
+    return map_batches(both.select("a", "b", "n_a", "n_b", "set_a", "set_b"), step, "a binary, b binary, n_a int, n_b int", "set_a", 8 << 20)
 
 
 def _exact(a: bytes, b: bytes) -> int:
@@ -260,12 +275,14 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), id_co
     texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     classes = _classes(texts, _frequent(texts, params), params)
     rows = _incidence(classes)
-    links = None
-    for step in range(params.star_rounds + 1):
+    links, step, last = None, 0, False
+    while not last:
         left = _labelled(rows, components(links) if links is not None else _no_labels(rows), params)
-        pairs = _star(left, params, step) if step < params.star_rounds else _product(left, params)
+        last = step >= params.star_rounds and (step >= params.most_rounds or not _crowded(left, params))
+        pairs = _product(left, params) if last else _star(left, params, step)
         found = _links(pairs, texts, classes, params)
         links = written(found if links is None else links.union(found), "links")
+        step += 1
     labels = components(links)
     # Classes without links are their own components.
     own = classes.where("n > 0").groupBy("name").agg(F.min("id").alias("first"))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 import numpy as np
 
+from .anchors import powers
+
 # Words lie between these bytes.
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -14,17 +16,6 @@ _SPACES[[9, 10, 11, 12, 13, 32]] = True
 _TABLE = np.random.default_rng(20_240_301).integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0xD6E8FEB86659FD93
 _BACK = pow(_BASE, -1, 1 << 64)
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    """The first n powers of a base modulo 2^64, kept at the largest size asked for."""
-    known = _powers.get(base)
-    if known is None or len(known) < n:
-        factors = np.full(max(n, 1 << 16), base, np.uint64)
-        factors[0] = 1
-        known = _powers[base] = np.cumprod(factors, dtype=np.uint64)
-    return known[:n]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -39,8 +30,8 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     edges = np.flatnonzero(np.diff(inner, prepend=False, append=False))
     starts, ends = edges[::2], edges[1::2]
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_TABLE[data] * _power(_BASE, len(data)), out=sums[1:], dtype=np.uint64)
-    hashes = (sums[ends] - sums[starts]) * _power(_BACK, len(data) + 1)[starts]
+    np.cumsum(_TABLE[data] * powers(_BASE, len(data)), out=sums[1:], dtype=np.uint64)
+    hashes = (sums[ends] - sums[starts]) * powers(_BACK, len(data) + 1)[starts]
     return starts, _mix(hashes + (ends - starts).astype(np.uint64))
 
 
@@ -72,9 +63,9 @@ def shingle_sets(texts: Sequence[bytes], size: int) -> list[np.ndarray]:
     return out
 
 
-def set_name(values: np.ndarray) -> int:
-    """A signed 64-bit name of a set."""
-    return int.from_bytes(hashlib.blake2b(values.tobytes(), digest_size=8).digest(), "little", signed=True)
+def set_name(values: np.ndarray) -> bytes:
+    """A 128-bit name of a set."""
+    return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
 def _bits(size: int) -> int:
