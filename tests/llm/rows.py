@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 SF_DIR = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that operators use for columns of their own.
-CLASH = "h t s id name n at key row content start end ids score predicted mix_copy __text kept spans".split()
+CLASH = (
+    "h t s id name n at key row content start end ids score predicted mix_copy __text kept spans fp cell rank weight copies x v cluster "
+    "__h __s __k __z __source __parts __cdf __id __label __first label"
+).split()
 
 
 def texts(seed: int = 5) -> list[str | None]:

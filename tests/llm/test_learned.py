@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from rows import edge_frame, empty_frame, with_clashes
 
-from tidemark.llm.boosted_trees import TreeParams, fit_trees
+from tidemark.llm.boosted_trees import TreeParams, _edges, fit_trees
 from tidemark.llm.common import table
 from tidemark.llm.lexicon import Lexicon, fold_text
 from tidemark.llm.python_queries import op2_quality, op8_toxicity
@@ -36,6 +36,50 @@ def test_trees_learn_an_interaction_and_flatten_as_they_score():
     assert np.allclose([walk(r) for r in x[:50]], model.margin(x[:50]))
 
 
+def _plain_margins(x, y, p):
+    """Boosted trees by recursion over rows: every cut of every feature is tried, its sums taken anew."""
+    positive = (sum(y) + 1) / (len(y) + 2)
+    margins = [float(np.log(positive / (1 - positive)))] * len(y)
+    cuts = _edges(x, p.bins)
+
+    def grow(rows, level, grad, hess, moves):
+        g, h = sum(grad[i] for i in rows), sum(hess[i] for i in rows)
+        best = (1e-6, None)
+        if level < p.depth:
+            for f in range(x.shape[1]):
+                for cut in cuts[f]:
+                    low = [i for i in rows if x[i, f] <= cut]
+                    gl, hl = sum(grad[i] for i in low), sum(hess[i] for i in low)
+                    if hl < p.least_weight or h - hl < p.least_weight:
+                        continue
+                    gain = gl**2 / (hl + p.ridge) + (g - gl) ** 2 / (h - hl + p.ridge) - g**2 / (h + p.ridge)
+                    if gain > best[0] + 1e-12:
+                        best = (gain, low)
+        if best[1] is None:
+            for i in rows:
+                moves[i] = -g / (h + p.ridge) * p.rate
+            return
+        low = set(best[1])
+        grow(best[1], level + 1, grad, hess, moves)
+        grow([i for i in rows if i not in low], level + 1, grad, hess, moves)
+
+    for _ in range(p.trees):
+        prob = [1 / (1 + np.exp(-m)) for m in margins]
+        moves = [0.0] * len(y)
+        grow(list(range(len(y))), 0, [q - t for q, t in zip(prob, y, strict=True)], [q * (1 - q) for q in prob], moves)
+        margins = [m + d for m, d in zip(margins, moves, strict=True)]
+    return margins
+
+
+@pytest.mark.parametrize("depth, bins", [(1, 8), (3, 5), (2, 64)])
+def test_the_fit_equals_a_plain_one(depth, bins):
+    rng = np.random.default_rng(depth)
+    x = rng.random((120, 3))
+    y = ((x[:, 0] + rng.normal(0, 0.2, 120) > 0.5) ^ (x[:, 1] > 0.6)).astype(float)
+    params = TreeParams(trees=4, depth=depth, bins=bins)
+    assert np.allclose(fit_trees(x, y, params).margin(x), _plain_margins(x, y, params))
+
+
 def test_trees_without_rows_or_with_one_class():
     none = fit_trees(np.zeros((0, 3)), np.zeros(0))
     assert none.score(np.zeros((2, 3))).tolist() == [0.5, 0.5]
@@ -99,3 +143,73 @@ def test_toxicity_edges(spark):
     assert toxicity(empty_frame(spark), lexicon).count() == 0
     one_class = fit_lexicon(docs, labels.where("toxic = 0"), lambda i: i.isNotNull())
     assert toxicity(docs, one_class).where("predicted = 1").count() == 0
+
+
+def _naive_hits(lexicon, folded):
+    """Every place of every entry, the longest at each start, but those inside a place of an exception."""
+    places = lambda term: [i for i in range(len(folded) - len(term) + 1) if folded.startswith(term, i)]
+    longest = {}
+    for entry in lexicon.weights:
+        for at in places(entry):
+            longest[at] = max(longest.get(at, ""), entry, key=len)
+    spared = [(at, at + len(p)) for p in lexicon.exceptions for at in places(p)]
+    return [(at, at + len(e), e) for at, e in sorted(longest.items()) if not any(a <= at and at + len(e) <= b for a, b in spared)]
+
+
+def test_hits_equal_a_naive_matcher_over_a_whole_table(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    lexicon = fit_lexicon(table(spark, SF, "documents"), table(spark, SF, "labels"), lambda i: i.isNotNull())
+    assert lexicon.weights
+    # Phrases around every tenth word, so that there are exceptions of each kind.
+    some = sorted(lexicon.weights)[::2]
+    lexicon = Lexicon(lexicon.weights, [*lexicon.exceptions, *some[::3], *[f"{e.rstrip()} a" for e in some[1::3]], " e", " the "], lexicon.scale)
+    for r in docs.collect():
+        folded = fold_text(r.text or "")[:6000]
+        assert lexicon.hits(folded) == _naive_hits(lexicon, folded)
+
+
+def _plain_statistics(text):
+    """The statistics again, letter by letter."""
+    import math
+
+    data = text.encode()
+    n = max(len(data), 1)
+    kinds = [0] * 7
+    for b in data:
+        if 65 <= b <= 90:
+            kind = 0
+        elif 97 <= b <= 122:
+            kind = 1
+        elif 48 <= b <= 57:
+            kind = 2
+        elif b in b" \t\n\v\f\r":
+            kind = 3
+        elif b in b"#*$%&|<>":
+            kind = 4
+        else:
+            kind = 6 if b >= 128 else 5
+        kinds[kind] += 1
+    words = text.split()
+    lines = [line for line in text.split("\n") if line.strip()]
+    w = max(len(words), 1)
+    pairs = {(words[i], words[i + 1]) for i in range(len(words) - 1)}
+    shares = [data.count(bytes([b])) / n for b in set(data)]
+    return [
+        *[k / n for k in kinds],
+        math.log1p(len(words)),
+        sum(len(x) for x in words) / w,
+        len(set(words)) / w,
+        sum(words[i] == words[i + 1] for i in range(len(words) - 1)) / w,
+        max((words.count(x) for x in set(words)), default=0) / w,
+        1 - len(pairs) / (len(words) - 1) if len(words) > 1 else 0,
+        math.log1p(len(lines)),
+        1 - len(set(lines)) / len(lines) if lines else 0,
+        len(words) / max(len(lines), 1),
+        -sum(s * math.log2(s) for s in shares),
+        data.count(b"!") / w,
+    ]
+
+
+def test_statistics_equal_a_plain_count(spark):
+    for r in table(spark, "/root/testdata/sf0.001", "documents").limit(60).union(edge_frame(spark).select("doc_id", "text", "lang", "source", "n_chars")).collect():
+        assert np.allclose(statistics((r.text or "")[:20_000]), _plain_statistics((r.text or "")[:20_000]))

@@ -54,6 +54,19 @@ def test_keep_first_keeps_one_row_of_each_text(spark):
     assert sorted(texts) == sorted({_normal(r.text) for r in docs.collect()})
 
 
+def test_keep_first_takes_ids_of_any_type(spark):
+    docs = with_clashes(edge_frame(spark)).withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    left = keep_first(docs)
+    assert left.columns == docs.columns
+    texts = [_normal(r.text) for r in left.collect()]
+    assert sorted(texts) == sorted({_normal(r.text) for r in docs.collect()})
+    firsts = {_normal(r.text): r.doc_id for r in left.collect()}
+    for text, first in firsts.items():
+        ids = [r.doc_id for r in docs.collect() if _normal(r.text) == text and r.doc_id is not None]
+        assert first == (min(ids) if ids else None)
+    assert {r["__h"] for r in left.collect()} == {"clash"}
+
+
 def test_mixing_follows_the_weights(spark):
     docs = spark.range(6000).selectExpr("id as doc_id", "'t' as text", "if(id < 5000, 'big', 'small') as source")
     out = mix_sources(docs, {"big": 1.0, "small": 3.0}, budget=8000.0, seed=3)

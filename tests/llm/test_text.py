@@ -187,3 +187,22 @@ def test_piece_queries_and_edges(spark):
     assert encode_pieces(empty_frame(spark), MODEL).count() == 0
     with pytest.raises(ValueError):
         encode_pieces(with_clashes(docs), MODEL, keep=("ids",))
+
+
+def test_long_runs_are_encoded_as_the_library_does(monkeypatch):
+    from tidemark.llm import token_counts as tc
+
+    encoder = tc.load(open(RANKS, "rb").read(), public_tokenizers.PATTERN)
+    ends = lambda text: np.cumsum(encoder.sizes[np.array(encoder.encoding.encode_ordinary(text), np.int64)]).tolist()
+    rng = random.Random(12)
+    parts = [" ", "  ", "\n", "\t", "\u3000", "\xa0", "\x1c", "\x85", "a", "b7", "...", "é", " the", "\u2003"]
+    monkeypatch.setattr(tc, "_LONG", re.compile(tc._LONG.pattern.replace(str(tc.LONG_RUN), "3")))
+    for _ in range(2000):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 30)))
+        assert encoder.ends(text).tolist() == ends(text), repr(text)
+    monkeypatch.undo()
+    for text in (" " * 20_000 + "x", "x" + "\n" * 20_000, "y \t" * 9000):
+        assert encoder.ends(text).tolist() == ends(text)
+    # Longer than the library takes in one piece.
+    for text in (" " * 1_000_000, "\n" * 1_000_000 + "x", "a" * 1_000_000, "!" * 1_000_000):
+        assert encoder.ends(text)[-1] == len(text)

@@ -35,6 +35,15 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def free_names(frame: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores in front as keep them apart from the frame's columns, whatever their case."""
+    taken = {c.lower() for c in frame.columns}
+    mark = "__"
+    while any(f"{mark}{n}".lower() in taken for n in names):
+        mark += "_"
+    return [f"{mark}{n}" for n in names]
+
+
 Slices = Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]
 
 

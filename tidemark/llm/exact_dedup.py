@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, text_or_empty
+from .common import SPACE, free_names, text_or_empty
 
 Normalise = Callable[[Column], Column]
 
@@ -58,12 +58,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise: Normalise = one_space) -> DataFrame:
-    """The rows of ``docs`` that ``exact_dedup`` keeps, with their columns; of repeated rows one stays."""
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with their columns; of repeated rows one stays.
+
+    Ids may be of any type that can be ordered; a null id is a value of its own, the
+    last one. Null texts count as empty. An empty table gives no rows. Columns of the
+    input may have any names.
+    """
     groups = exact_groups(docs, id_col, text_col, normalise)
-    groups = groups.select("h", "s", F.coalesce("keep_id", F.lit(0)).alias("k"), F.col("keep_id").isNull().alias("z"))
-    groups = groups.withColumnsRenamed({c: f"__{c}" for c in "hskz"})
+    h, s, k = free_names(docs, "h", "s", "k")
+    # An id inside a struct is never null itself, so plain equality serves, and one shuffle both steps.
+    groups = groups.select(F.col("h").alias(h), F.col("s").alias(s), F.struct(F.col("keep_id").alias("id")).alias(k))
     text = normalise(text_or_empty(text_col))
-    keys = {"__h": F.unhex(F.md5(text)), "__s": F.unhex(F.sha2(text, 256)), "__k": F.coalesce(id_col, F.lit(0)), "__z": F.col(id_col).isNull()}
-    # These keys are nearly unique, so no group is large but that of one row repeated, and one shuffle serves both steps.
+    keys = {h: F.unhex(F.md5(text)), s: F.unhex(F.sha2(text, 256)), k: F.struct(F.col(id_col).alias("id"))}
+    # These keys are nearly unique, so no group is large but that of one row repeated.
     stay = docs.withColumns(keys).join(groups, list(keys), "left_semi")
     return stay.dropDuplicates(list(keys)).select(*docs.columns)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -42,6 +43,22 @@ def fold_text(text: str) -> str:
     return f" {text.lower().translate(FOLD)} "
 
 
+class Key:
+    """What an automaton is made of, hashed once."""
+
+    def __init__(self, parts: tuple[tuple[str, ...], tuple[str, ...]]):
+        self.parts, self._hash = parts, hash(parts)
+
+    def __hash__(self) -> int:
+        return self._hash
+
+    def __eq__(self, other: object) -> bool:
+        return self is other or (isinstance(other, Key) and self._hash == other._hash and self.parts == other.parts)
+
+    def __reduce__(self):  # text hashes differ between processes
+        return Key, (self.parts,)
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """Folded entries with weights; an entry begins with a space, and ends with one if it is a whole word.
@@ -53,10 +70,10 @@ class Lexicon:
     weights: Mapping[str, float]
     exceptions: Sequence[str] = ()
     scale: tuple[float, float, float] = (-3.0, 1.0, 1.0)
-    key: tuple = field(init=False)
+    key: Key = field(init=False)
 
     def __post_init__(self) -> None:
-        object.__setattr__(self, "key", (tuple(sorted(self.weights.items())), tuple(sorted(self.exceptions))))
+        object.__setattr__(self, "key", Key((tuple(sorted(self.weights)), tuple(sorted(self.exceptions)))))
 
     def hits(self, folded: str) -> list[tuple[int, int, str]]:
         """Entries found (start, end, entry), the longest at each start, without those inside an exception."""
@@ -64,21 +81,29 @@ class Lexicon:
         if automaton is None:
             return []
         found: dict[int, tuple[int, str]] = {}
-        spared: list[tuple[int, int]] = []
+        spared: list[tuple[int, int]] = []  # in order of their ends; starts rise with them once inner ones are left out
         for last, (entry, exception) in automaton.iter(folded):
             start, end = last + 1 - len(entry), last + 1
             if exception:
+                while spared and spared[-1][0] >= start:
+                    spared.pop()
                 spared.append((start, end))
             if entry in self.weights and found.get(start, (0, ""))[0] < end:
                 found[start] = end, entry
-        return [(s, e, entry) for s, (e, entry) in sorted(found.items()) if not any(a <= s and e <= b for a, b in spared)]
+        return [(s, e, entry) for s, (e, entry) in sorted(found.items()) if not _inside(s, e, spared)]
+
+
+def _inside(start: int, end: int, spans: list[tuple[int, int]]) -> bool:
+    """Whether one of the spans (both ends rising) holds a hit: the last that begins at or before it reaches furthest."""
+    at = bisect_right(spans, start, key=lambda s: s[0]) - 1
+    return at >= 0 and end <= spans[at][1]
 
 
 @lru_cache(maxsize=4)
-def _automaton(key: tuple) -> ahocorasick.Automaton | None:
-    weights, exceptions = key
+def _automaton(key: Key) -> ahocorasick.Automaton | None:
+    entries, exceptions = key.parts
     automaton = ahocorasick.Automaton()
-    for entry, _ in weights:
+    for entry in entries:
         automaton.add_word(entry, (entry, entry in exceptions))
     for phrase in exceptions:
         automaton.add_word(phrase, (phrase, True))

@@ -13,6 +13,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_names
+
 # Rates above this are drawn as a sum of equal parts: exp(-rate) stays far from underflow.
 PART = 16.0
 # Terms of one part's distribution; beyond them less than 2^-52 is left of Poisson(16).
@@ -28,7 +30,6 @@ def source_rates(
 ) -> DataFrame:
     """``source, rate``: weights as given by source (absent ones get none), or tempered by an exponent."""
     sizes = docs.groupBy(F.col(source_col).alias("source")).agg(F.coalesce(F.sum(size), F.lit(0)).cast("double").alias("size"))
-    total = sizes.agg(F.sum("size").alias("total"))
     if isinstance(weights, Mapping):
         whole = sum(weights.values())
         if whole <= 0 or min(weights.values()) < 0:
@@ -40,10 +41,8 @@ def source_rates(
     else:
         part = F.when(F.col("size") > 0, F.pow("size", F.lit(float(weights)))).otherwise(0.0)
         powers = sizes.withColumn("part", part)
-        whole = powers.agg(F.sum("part").alias("whole"))
-        rated = powers.join(whole).withColumn("weight", F.col("part") / F.col("whole"))
-    # A one-row total: a join of a table of sources with one row, not of all pairs.
-    rows = rated.join(total).withColumn("budget", F.col("total") if budget is None else F.lit(float(budget)))
+        rated = powers.withColumn("weight", F.col("part") / powers.agg(F.sum("part").alias("whole")).scalar())
+    rows = rated.withColumn("budget", sizes.agg(F.sum("size").alias("total")).scalar() if budget is None else F.lit(float(budget)))
     return rows.select("source", F.when(F.col("size") > 0, F.col("weight") * F.col("budget") / F.col("size")).otherwise(0.0).alias("rate"))
 
 
@@ -93,18 +92,21 @@ def mix_sources(
     rates = source_rates(docs, weights, budget, source_col, size)
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / PART)).cast("int")
     rates = rates.withColumn("parts", parts).withColumn("cdf", _cdf(F.col("rate") / F.col("parts")))
-    rates = rates.select(F.col("source").alias("__source"), F.col("parts").alias("__parts"), F.col("cdf").alias("__cdf"))
+    own = docs.select(*[c for c in docs.columns if c not in ("mix_copies", "mix_copy", "mix_key")])
+    source, parts, cdf = free_names(own, "source", "parts", "cdf")
+    rates = rates.select(F.col("source").alias(source), F.col("parts").alias(parts), F.col("cdf").alias(cdf))
     # The number of sources is checked before their rates go to every executor.
     if docs.select(source_col).distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
-    own = docs.select(*[c for c in docs.columns if c not in ("mix_copies", "mix_copy", "mix_key")])
-    rated = own.join(rates, F.col(source_col).eqNullSafe(F.col("__source")))
+    rated = own.join(rates, F.col(source_col).eqNullSafe(F.col(source)))
     name = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
-    draws = F.transform(
-        F.sequence(F.lit(1), F.col("__parts")),
-        lambda part: F.size(F.filter(F.col("__cdf"), lambda p: p <= _uniform(name, part))),
-    )
+
+    def drawn(part: Column) -> Column:
+        # An array of one, so that the number is hashed once and not for each term.
+        return F.transform(F.array(_uniform(name, part)), lambda u: F.size(F.filter(F.col(cdf), lambda p: p <= u)))[0]
+
+    draws = F.transform(F.sequence(F.lit(1), F.col(parts)), drawn)
     counted = rated.withColumn("mix_copies", F.aggregate(draws, F.lit(0), lambda a, b: a + b).cast("long"))
     copies = counted.where("mix_copies > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies"))))
     keyed = copies.withColumn("mix_key", F.md5(F.concat_ws(":", F.lit("order"), name, F.col("mix_copy").cast("string"))))
-    return keyed.drop("__source", "__parts", "__cdf").repartition("mix_key").sortWithinPartitions("mix_key")
+    return keyed.drop(source, parts, cdf).repartition("mix_key").sortWithinPartitions("mix_key")

@@ -9,6 +9,7 @@ crosses a boundary goes by an explicit rule. One pass, no shuffle.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from pathlib import Path
@@ -18,9 +19,12 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 
-from .common import map_batches, text_or_empty
+from .common import free_names, map_batches, text_or_empty
 
 RULES = ("start", "end", "most")
+# Runs of white space (of Unicode) from this length on are not given to the pattern, whose look-ahead would nest as deep.
+LONG_RUN = 4096
+_LONG = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
 
 
 def line_starts(raw: bytes) -> np.ndarray:
@@ -35,14 +39,23 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        # A long run is one piece, but for its last character where text follows: that one may go with the next word.
+        self.runs = tiktoken.Encoding("runs", pat_str=r"\s+", mergeable_ranks=ranks, special_tokens={})
         self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self.sizes[rank] = len(token)
 
     def ends(self, text: str) -> np.ndarray:
         """Where each token ends, in bytes; special tokens' names in a text are ordinary text."""
-        ids = np.array(self.encoding.encode_ordinary(text), np.int64)
-        return np.cumsum(self.sizes[ids])
+        ids: list[int] = []
+        at = 0
+        for run in _LONG.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            ids += self.encoding.encode_ordinary(text[at : run.start()])
+            ids += self.runs.encode_ordinary(text[run.start() : end])
+            at = end
+        ids += self.encoding.encode_ordinary(text[at:])
+        return np.cumsum(self.sizes[np.array(ids, np.int64)])
 
 
 @lru_cache(maxsize=2)
@@ -88,8 +101,10 @@ def token_counts(
     """A row per section: ``keep`` columns, ``section`` (from 0), ``start`` and ``end`` (code points), ``n_tokens``, ``n_crossing``.
 
     ``sections`` gives the bytes at which sections start, 0 first. The counts of a
-    document's sections sum to the tokens of the whole document. Null and empty
-    texts have one empty section without tokens. Rows that repeat are counted each
+    document's sections sum to the tokens of the whole document. Patterns are expected
+    to take a run of white space as one piece, without its last character where text
+    follows. Texts of any length are encoded whole. Null and empty texts have one empty
+    section without tokens. Rows that repeat are counted each
     by itself. An empty table gives no rows.
     """
     added = ("section", "start", "end", "n_tokens", "n_crossing")
@@ -121,4 +136,5 @@ def token_counts(
         columns = [c.take(taken) for c in batch.columns[:-1]] + [pa.array(np.concatenate(f), pa.int64()) for f in found]
         yield pa.RecordBatch.from_arrays(columns, [*keep, *added])
 
-    return map_batches(docs.select(*keep, text_or_empty(text_col).alias("__text")), step, schema, "__text", 4 << 20)
+    [text] = free_names(kept, "text")
+    return map_batches(docs.select(*keep, text_or_empty(text_col).alias(text)), step, schema, text, 4 << 20)

@@ -2,7 +2,7 @@
 
 Entries, weights and exceptions are learned from a bounded sample of labelled
 documents; counts of candidates are folded in the tasks and summed by Spark, and
-only the chosen entries, bounded in number, reach the driver. Scoring is one
+only entries that enough documents of the sample have reach the driver. Scoring is one
 pass over the documents without a shuffle.
 """
 
@@ -17,14 +17,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, text_or_empty
+from .common import map_batches, text_or_empty, written
 from .lexicon import Lexicon, fold_text
 from .quality import labelled_sample
 
-# The bound on labelled rows a fit looks at, and on entries and exceptions of a lexicon.
+# The bound on labelled rows a fit looks at.
 TRAIN_ROWS = 20_000
-MAX_ENTRIES = 2_000
-MAX_EXCEPTIONS = 2_000
 # Letters of a candidate: the start of a word, or a whole word.
 SHORTEST, LONGEST = 3, 9
 # Toxic documents an entry must occur in: this many, and this share of those in the sample.
@@ -121,7 +119,8 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, allowed: Callable[[Column],
 
     Without toxic or without clean rows it is empty and every score is the same.
     """
-    sample = labelled_sample(docs, labels, "toxic", allowed, train_rows)
+    # Read four times below: for the labels, the entries, the exceptions and the scale.
+    sample = written(labelled_sample(docs, labels, "toxic", allowed, train_rows), "labelled")
     by_label = {r["__label"]: r["n"] for r in sample.groupBy("__label").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = by_label.get(1, 0), by_label.get(0, 0)
     if not toxic or not clean:
@@ -129,11 +128,12 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, allowed: Callable[[Column],
     counts = _counts(sample, candidates)
     odds = _log_odds(F.col("toxic"), F.col("clean"), toxic, clean, F.log)
     telling = counts.where(F.col("toxic") >= max(LEAST, LEAST_SHARE * toxic)).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
-    rows = telling.orderBy(F.desc(F.col("toxic") * F.col("odds")), "term").limit(MAX_ENTRIES).collect()
+    # Terms of a share of the bounded sample's toxic rows.
+    rows = telling.select("term", "toxic", "odds").collect()
     lexicon = Lexicon(_prune([(r["term"], r["toxic"], r["odds"]) for r in rows]))
     harmless = _counts(sample, _phrases(lexicon)).where((F.col("toxic") == 0) & (F.col("clean") >= LEAST_EXCEPTION))
-    phrases = harmless.orderBy(F.desc("clean"), "term").limit(MAX_EXCEPTIONS).collect()
-    lexicon = Lexicon(lexicon.weights, tuple(r["term"] for r in phrases))
+    phrases = harmless.select("term").collect()
+    lexicon = Lexicon(lexicon.weights, tuple(sorted(r["term"] for r in phrases)))
     told = sample.select("__id", "__label", _sums_column(lexicon)("__text").alias("x"))
     table = told.orderBy(F.xxhash64("__id"), "__id", "x").limit(train_rows).toPandas()
     return Lexicon(lexicon.weights, lexicon.exceptions, _logistic(np.stack(table["x"].to_list()), table["__label"].to_numpy(float)))
