@@ -205,8 +205,9 @@ def _in_order(job: Capture, batch: DataFrame, last: Offset, number: int) -> tupl
     if known["rows"] != known["numbers"]:
         raise OutOfOrderError(f"{known['rows'] - known['numbers']} arrival numbers after {frontier} occur twice")
     upto = known["upto"]
-    if config.arrival_lag:
-        upto = max(upto, known["highest"] - config.arrival_lag)
+    if config.arrival_lag and known["highest"] - config.arrival_lag > upto:
+        # What is missing up to there is given up; from there on the log may be complete again.
+        upto = complete_upto(rows, known["highest"] - config.arrival_lag).first()["upto"]
     waiting = rows.where(F.col("seq") > upto) if upto < known["highest"] else None
     if upto < known["highest"] or upto > known["upto"]:
         missing = arrival_gaps(rows, frontier).withColumn("given_up", F.col("gap_end") <= upto)
