@@ -34,7 +34,7 @@ from .shingles import compact, most_common, set_name, shingle_sets
 class JoinParams:
     """``percent``: the similarity from which sets link. ``frequent``: documents from which a shingle goes last in the
     order; of those the ``most_frequent`` first ones, which bounds what is sent to the tasks. ``star_rounds`` come before the
-    product, and more of them, up to ``most_rounds``, while its lists would give over ``crowd`` pairs for each of their rows.
+    product, and more of them, up to ``most_rounds``, while each adds at least this ``gain`` to the links found so far.
     Any choice gives the same links."""
 
     words: int = 4
@@ -43,7 +43,7 @@ class JoinParams:
     most_frequent: int = 1_000_000
     star_rounds: int = 2
     most_rounds: int = 8
-    crowd: int = 4
+    gain: float = 0.05
     broadcast_classes: int = 500_000
 
 
@@ -191,25 +191,18 @@ def _star(rows: DataFrame, params: JoinParams, step: int) -> DataFrame:
     return pairs.select(F.col("p.name").alias("a"), F.col("name").alias("b"), n.alias("n_a"), n_b.alias("n_b")).distinct()
 
 
-def _crowded(rows: DataFrame, params: JoinParams) -> bool:
-    """Whether the lists are so long that pairs would far outnumber their rows."""
-    sizes = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-    total = sizes.agg(F.sum("n").alias("rows"), F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs")).first()
-    return (total["pairs"] or 0) > params.crowd * (total["rows"] or 0)
-
-
 def _product(rows: DataFrame, params: JoinParams) -> DataFrame:
     """``a, b`` and their sizes: pairs of different components whose overlap may reach the threshold.
 
-    Before a shared entry two sets have at most the entries left before it in
-    common, after it at most those that follow in either.
+    From the first entry that two sets share there must be enough left in either to
+    reach it; a shared entry too late for that adds nothing.
     """
-    rows = rows.drop("alone")
+    rows = rows.drop("alone", "before")
     right = rows.select("shingle", *[F.col(c).alias(f"{c}_b") for c in rows.columns if c != "shingle"])
     n, n_b = F.col("n"), F.col("n_b")
     after = F.least(n - F.col("at"), n_b - F.col("at_b"))
     meet = (F.col("name") < F.col("name_b")) & (F.col("component") != F.col("component_b"))
-    pairs = rows.join(right, "shingle").where(meet & _possible(n, n_b, F.least("before", "before_b") + after, params))
+    pairs = rows.join(right, "shingle").where(meet & _possible(n, n_b, after, params))
     counted = pairs.groupBy(F.col("name").alias("a"), F.col("name_b").alias("b"), "n", "n_b").agg(
         F.count(F.lit(1)).alias("same"), F.max("at").alias("at"), F.max("at_b").alias("at_b")
     )
@@ -275,14 +268,16 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), id_co
     texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     classes = _classes(texts, _frequent(texts, params), params)
     rows = _incidence(classes)
-    links, step, last = None, 0, False
-    while not last:
+    links, known, grown = None, 0, True
+    for step in range(params.most_rounds + 1):
+        star = step < params.star_rounds or (grown and step < params.most_rounds)
         left = _labelled(rows, components(links) if links is not None else _no_labels(rows), params)
-        last = step >= params.star_rounds and (step >= params.most_rounds or not _crowded(left, params))
-        pairs = _product(left, params) if last else _star(left, params, step)
-        found = _links(pairs, texts, classes, params)
+        found = _links(_star(left, params, step) if star else _product(left, params), texts, classes, params)
         links = written(found if links is None else links.union(found), "links")
-        step += 1
+        if not star:
+            break
+        total = links.count()
+        known, grown = total, total >= (1 + params.gain) * known
     labels = components(links)
     # Classes without links are their own components.
     own = classes.where("n > 0").groupBy("name").agg(F.min("id").alias("first"))
