@@ -120,22 +120,32 @@ def _frequent(texts: DataFrame, params: JoinParams) -> np.ndarray:
     return np.sort(top["key"].to_numpy(np.int64))
 
 
-def _classes(texts: DataFrame, keys: np.ndarray, params: JoinParams) -> DataFrame:
-    """``id, name, n, prefix`` of every document; name is null without shingles."""
+def _named(texts: DataFrame, keys: np.ndarray, params: JoinParams, salt: int) -> DataFrame:
+    """``id, name, check, n, prefix`` of every document; name is null without shingles."""
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         sets = _sets_of(batch, params)
-        heads = []
-        for values in sets:
-            heads.append(_prefix(values, keys, params.percent))
+        heads = [_prefix(values, keys, params.percent) for values in sets]
         offsets = pa.array(np.cumsum([0, *map(len, heads)]).astype(np.int32))
         prefix = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(heads) if heads else np.zeros(0, np.int64)))
-        names = pa.array([set_name(s) if len(s) else None for s in sets], pa.binary())
+        names = [set_name(s, salt) if len(s) else (None, None) for s in sets]
+        columns = [pa.array([n[i] for n in names], pa.int64()) for i in (0, 1)]
         sizes = pa.array([len(s) for s in sets], pa.int32())
-        yield pa.RecordBatch.from_arrays([batch.column("id"), names, sizes, prefix], ["id", "name", "n", "prefix"])
+        yield pa.RecordBatch.from_arrays([batch.column("id"), *columns, sizes, prefix], ["id", "name", "check", "n", "prefix"])
 
     kind = dict(texts.dtypes)["id"]
-    return written(map_batches(texts, step, f"id {kind}, name binary, n int, prefix array<long>", "text", SLICE), "classes")
+    return written(map_batches(texts, step, f"id {kind}, name long, check long, n int, prefix array<long>", "text", SLICE), "classes")
+
+
+def _classes(texts: DataFrame, keys: np.ndarray, params: JoinParams) -> tuple[DataFrame, int]:
+    """``id, name, n, prefix`` of every document, and the salt under which no two different sets share a name."""
+    salt = 0
+    while True:
+        named = _named(texts, keys, params, salt)
+        checks = named.where("n > 0").groupBy("name").agg(F.min("check").alias("low"), F.max("check").alias("high"))
+        if checks.where("low < high").limit(1).count() == 0:
+            return named.drop("check"), salt
+        salt += 1
 
 
 def _incidence(classes: DataFrame) -> DataFrame:
@@ -210,7 +220,9 @@ def _product(rows: DataFrame, params: JoinParams) -> DataFrame:
     return counted.where(_possible(n, n_b, F.col("same") - 1 + after, params)).select("a", "b", n.alias("n_a"), "n_b")
 
 
-def _sets(texts: DataFrame, classes: DataFrame, pairs: DataFrame, params: JoinParams, as_bytes: Callable[[np.ndarray], bytes]) -> DataFrame:
+def _sets(
+    texts: DataFrame, classes: DataFrame, salt: int, pairs: DataFrame, params: JoinParams, as_bytes: Callable[[np.ndarray], bytes]
+) -> DataFrame:
     """``name, set``: the sets of the classes in ``pairs``, from one document of each."""
     wanted = pairs.select(F.col("a").alias("name")).union(pairs.select(F.col("b").alias("name"))).distinct()
     chosen = classes.where("n > 0").groupBy("name").agg(F.min("id").alias("rep")).join(wanted, "name", "left_semi")
@@ -223,11 +235,11 @@ def _sets(texts: DataFrame, classes: DataFrame, pairs: DataFrame, params: JoinPa
         names = batch.column("name").to_pylist()
         sets = _sets_of(batch, params)
         # Rows that repeat the id with another text are not the class's document.
-        own = [i for i, s in enumerate(sets) if len(s) and set_name(s) == names[i]]
-        columns = [pa.array([names[i] for i in own], pa.binary()), pa.array([as_bytes(sets[i]) for i in own], pa.binary())]
+        own = [i for i, s in enumerate(sets) if len(s) and set_name(s, salt)[0] == names[i]]
+        columns = [pa.array([names[i] for i in own], pa.int64()), pa.array([as_bytes(sets[i]) for i in own], pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, ["name", "set"])
 
-    return written(map_batches(found, step, "name binary, set binary", "text", SLICE), "sets").dropDuplicates(["name"])
+    return written(map_batches(found, step, "name long, set binary", "text", SLICE), "sets").dropDuplicates(["name"])
 
 
 def _reach(
@@ -243,18 +255,18 @@ def _reach(
         good = [i for i, s in enumerate(same) if 100 * s >= params.percent * (n_a[i] + n_b[i] - s)]
         yield batch.select(["a", "b", "n_a", "n_b"]).take(pa.array(good, pa.int64()))
 
-    return map_batches(both.select("a", "b", "n_a", "n_b", "set_a", "set_b"), step, "a binary, b binary, n_a int, n_b int", "set_a", 8 << 20)
+    return map_batches(both.select("a", "b", "n_a", "n_b", "set_a", "set_b"), step, "a long, b long, n_a int, n_b int", "set_a", 8 << 20)
 
 
 def _exact(a: bytes, b: bytes) -> int:
     return len(np.intersect1d(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64), assume_unique=True))
 
 
-def _links(pairs: DataFrame, texts: DataFrame, classes: DataFrame, params: JoinParams) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, classes: DataFrame, salt: int, params: JoinParams) -> DataFrame:
     """The pairs whose full sets reach the threshold: first by compacted sets, which never count too few, then exactly."""
     pairs = written(pairs, "pairs")
-    likely = written(_reach(pairs, _sets(texts, classes, pairs, params, compact), params, most_common), "likely")
-    whole = _sets(texts, classes, likely, params, np.ndarray.tobytes)
+    likely = written(_reach(pairs, _sets(texts, classes, salt, pairs, params, compact), params, most_common), "likely")
+    whole = _sets(texts, classes, salt, likely, params, np.ndarray.tobytes)
     return _reach(likely, whole, params, _exact).select("a", "b")
 
 
@@ -266,13 +278,13 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), id_co
     it; null ids count only where there is no other. An empty table gives no rows.
     """
     texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    classes = _classes(texts, _frequent(texts, params), params)
+    classes, salt = _classes(texts, _frequent(texts, params), params)
     rows = _incidence(classes)
     links, known, grown = None, 0, True
     for step in range(params.most_rounds + 1):
         star = step < params.star_rounds or (grown and step < params.most_rounds)
         left = _labelled(rows, components(links) if links is not None else _no_labels(rows), params)
-        found = _links(_star(left, params, step) if star else _product(left, params), texts, classes, params)
+        found = _links(_star(left, params, step) if star else _product(left, params), texts, classes, salt, params)
         links = written(found if links is None else links.union(found), "links")
         if not star:
             break

@@ -63,9 +63,10 @@ def shingle_sets(texts: Sequence[bytes], size: int) -> list[np.ndarray]:
     return out
 
 
-def set_name(values: np.ndarray) -> bytes:
-    """A 128-bit name of a set."""
-    return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+def set_name(values: np.ndarray, salt: int = 0) -> tuple[int, int]:
+    """A set's name and a check of it, 64 bits each: sets that share a name but not the check need another salt."""
+    digest = hashlib.blake2b(values.tobytes(), digest_size=16, key=b"%d" % salt).digest()
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
 def _bits(size: int) -> int:
