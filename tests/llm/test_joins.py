@@ -7,15 +7,17 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from rows import SF_DIR, edge_frame, empty_frame, same_rows, with_clashes
 
 from tidemark.llm.anchors import segments
-from tidemark.llm.common import table
+from tidemark.llm.common import BATCH_BYTES, BATCH_CONF, small_batches, table, written
 from tidemark.llm.components import components
-from tidemark.llm.ngram_join import JoinParams, jaccard_components
+from tidemark.llm.ngram_join import JoinParams, _frequent, _key, jaccard_components
 from tidemark.llm.python_queries import op4_substring_dedup, op6_ngram_join
 from tidemark.llm.run_index import RunIndex
+from tidemark.llm.shingles import shingle_sets
 from tidemark.llm.substring_dedup import SubstringParams, substring_dedup
 
 
@@ -146,3 +148,36 @@ def test_a_long_chain_is_one_component(spark):
     links = spark.range(200).selectExpr("id as a", "id + 1 as b").union(spark.createDataFrame([(900, 901)], "a long, b long"))
     found = components(links).collect()
     assert {(r.node, r.component) for r in found} == {(i, 0) for i in range(201)} | {(900, 900), (901, 900)}
+
+
+def test_written_steps_get_batches_of_bounded_bytes(spark):
+    rows = spark.range(0, 2000, 1, 1).selectExpr("id", "repeat(cast(id as string), 4000) AS text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "bytes"])
+
+    seen = written(rows.mapInArrow(sizes, "n long, bytes long"), "sizes").collect()
+    assert sum(r.n for r in seen) == 2000
+    assert max(r.bytes for r in seen) <= BATCH_BYTES + (64 << 10)
+    assert spark.conf.get(BATCH_CONF, None) is None
+
+
+def test_a_batch_setting_of_the_session_returns(spark):
+    for mine in (1 << 10, 1 << 30):
+        spark.conf.set(BATCH_CONF, str(mine))
+        try:
+            with small_batches(spark):
+                assert int(spark.conf.get(BATCH_CONF)) == min(mine, BATCH_BYTES)
+            assert int(spark.conf.get(BATCH_CONF)) == mine
+        finally:
+            spark.conf.unset(BATCH_CONF)
+
+
+def test_frequent_keys_are_those_that_repeat(spark):
+    texts = ["a b c d e", "a b c d f", "a b c d g", "a b c d h", "x y z w", "x y z w", "", "one two"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    counts = Counter(k for s in shingle_sets([t.encode() for t in texts], 4) for k in _key(s).tolist())
+    for least in (2, 4, 5):
+        expected = sorted(k for k, n in counts.items() if n >= least)
+        assert _frequent(rows, JoinParams(frequent=least)).tolist() == expected

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import map_batches, pieces, text_or_empty, written
+from .common import map_batches, pieces, small_batches, text_or_empty, written
 from .components import components
 from .shingles import compact, most_common, set_name, shingle_sets
 
@@ -94,10 +94,10 @@ def _frequent(texts: DataFrame, params: JoinParams) -> np.ndarray:
 
     def repeated(held: np.ndarray) -> pa.RecordBatch:
         held.sort()
-        begin = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
-        counts = np.diff(np.append(begin, len(held)))
-        again = counts > 1
-        return pa.RecordBatch.from_arrays([pa.array(held[begin[again]]), pa.array(counts[again])], ["key", "n"])
+        # Only places of runs are kept, so that beside the shingles there is little more than a byte for each.
+        edges = np.flatnonzero(np.diff(held[1:] == held[:-1], prepend=False, append=False))
+        begin, end = edges[::2], edges[1::2]
+        return pa.RecordBatch.from_arrays([pa.array(held[begin]), pa.array(end - begin + 1)], ["key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = np.empty(CHUNK, np.int64), 0
@@ -116,7 +116,8 @@ def _frequent(texts: DataFrame, params: JoinParams) -> np.ndarray:
 
     partial = texts.select("text").mapInArrow(run, "key long, n long")
     counts = partial.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= params.frequent)
-    top = counts.orderBy(F.desc("n"), "key").limit(params.most_frequent).select("key").toPandas()
+    with small_batches(texts.sparkSession):
+        top = counts.orderBy(F.desc("n"), "key").limit(params.most_frequent).select("key").toPandas()
     return np.sort(top["key"].to_numpy(np.int64))
 
 
