@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table, written
+from tidemark.llm.common import free_names, table, written
 from tidemark.llm.exact_dedup import keep_first
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.native_queries import MIX_ALPHA, MIX_SEED
@@ -34,8 +34,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the row with the smallest id stays; rows that share an id stay or go together."""
     groups = jaccard_components(docs)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__first")).distinct()
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
+    (mark,) = free_names(docs, "first")
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(mark)).distinct()
+    return docs.join(first, F.col("doc_id").eqNullSafe(F.col(mark)), "left_semi")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
