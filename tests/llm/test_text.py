@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
@@ -206,3 +207,16 @@ def test_long_runs_are_encoded_as_the_library_does(monkeypatch):
     # Longer than the library takes in one piece.
     for text in (" " * 1_000_000, "\n" * 1_000_000 + "x", "a" * 1_000_000, "!" * 1_000_000):
         assert encoder.ends(text)[-1] == len(text)
+
+
+def test_workers_keep_no_words_after_a_task(spark):
+    data = open(MODEL, "rb").read()
+    encode_pieces(edge_frame(spark), MODEL).write.format("noop").mode("overwrite").save()
+
+    def held(batches):
+        for batch in batches:
+            model = load(data)
+            yield pa.RecordBatch.from_arrays([pa.array([len(model.cache) + len(model.older)] * batch.num_rows)], ["n"])
+
+    tasks = spark.sparkContext.defaultParallelism
+    assert {r.n for r in spark.range(0, 4 * tasks, 1, tasks).mapInArrow(held, "n long").collect()} == {0}

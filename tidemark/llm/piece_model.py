@@ -23,7 +23,7 @@ UNKNOWN_SURFACE = " ⁇ "
 REPLACEMENT = "�"
 NO_MERGE = 1 << 40
 
-# Words kept with their pieces in each Python worker: when as many are new, those not used since the last time go.
+# Words kept with their pieces in a task: when as many are new, those not used since the last time go.
 CACHE_WORDS = 250_000
 # Words above this length are merged with a heap, so a long text without spaces takes n log n steps.
 SHORT = 40
@@ -126,9 +126,13 @@ class PieceModel:
         self.words = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}]+|{SPACE_MARK}+" if apart else r"(?s).+").findall
         self.surface = [self._surface(i) for i in range(len(self.pieces))]
         self.is_byte = np.array([k == BYTE for k in self.kinds])
+        self.forget()
+        self._pair_table()
+
+    def forget(self) -> None:
+        """Drops the words kept, about 100 MB when there are as many as may be."""
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self._pair_table()
 
     def _surface(self, i: int) -> str:
         if self.kinds[i] in (CONTROL, BYTE):

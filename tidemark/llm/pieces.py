@@ -53,7 +53,7 @@ def encode_pieces(
             columns.append(pa.array([model.decode(ids[a:b]) for a, b in zip(limits, limits[1:], strict=False)], pa.string()))
         yield pa.RecordBatch.from_arrays(columns, [*keep, *added[: 3 + decoded]])
 
-    return map_batches(rows, step, schema, "__text", 1 << 20)
+    return map_batches(rows, step, schema, "__text", 1 << 20, after=lambda: load(data).forget())
 
 
 def decode_pieces(frame: DataFrame, model_path: str, keep: Sequence[str] = ("doc_id",), ids_col: str = "ids") -> DataFrame:
