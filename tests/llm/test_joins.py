@@ -18,7 +18,7 @@ from tidemark.llm.ngram_join import JoinParams, _frequent, _key, jaccard_compone
 from tidemark.llm.python_queries import op4_substring_dedup, op6_ngram_join
 from tidemark.llm.run_index import RunIndex
 from tidemark.llm.shingles import shingle_sets
-from tidemark.llm.substring_dedup import SubstringParams, substring_dedup
+from tidemark.llm.substring_dedup import STEP, SubstringParams, _sharing, substring_dedup
 
 
 def test_matching_statistics_equal_brute_force():
@@ -92,6 +92,40 @@ def test_substring_query_equals_brute_force(spark):
     assert substring_dedup(empty_frame(spark)).count() == 0
 
 
+def test_segments_are_indexed_only_if_they_may_share_a_window():
+    rng, window = random.Random(8), 400
+    draw = lambda n: bytes(rng.choices(b"abcdefgh ", k=n))
+    passages = [draw(n) for n in (150, 150, 280, 400, 401, 436, 700) for _ in range(3)]
+    texts = [draw(rng.randint(0, 500)) + p + draw(rng.randint(0, 500)) for p in passages for _ in range(4)]
+    found, kinds = segments(texts, window), set()
+    for t, start, count, name in zip(found.text, found.start, found.count, found.name, strict=True):
+        kinds.add((int(name), texts[t][start : start + count + window - 1]))
+    names, strings = zip(*sorted(kinds), strict=True)
+    own = _sharing(list(names), list(strings), window)
+    windows = Counter(s[i : i + window] for s in strings for i in range(len(s) - window + 1))
+    share = {j for j, s in enumerate(strings) if any(windows[s[i : i + window]] > 1 for i in range(len(s) - window + 1))}
+    assert share and share <= set(own) and own == sorted(own)
+    # The others share an anchor at most: all that is indexed has a string with another that is nearly a window.
+    least = window - STEP + 1
+    nearly = Counter(x for s in strings for x in {s[i : i + least] for i in range(len(s) - least + 1)})
+    assert all(any(nearly[strings[j][i : i + least]] > 1 for i in range(len(strings[j]) - least + 1)) for j in own)
+    shared = Counter(names)
+    assert len(own) < sum(n for n in shared.values() if n > 1)
+    assert _sharing([], [], window) == []
+
+
+def test_texts_are_cut_into_segments_once(spark, monkeypatch):
+    labels = []
+
+    def noted(frame, label):
+        labels.append(label)
+        return written(frame, label)
+
+    monkeypatch.setattr("tidemark.llm.substring_dedup.written", noted)
+    substring_dedup(edge_frame(spark), SMALL[0])
+    assert labels.count("segments") == 1
+
+
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 
