@@ -126,6 +126,24 @@ def test_texts_are_cut_into_segments_once(spark, monkeypatch):
     assert labels.count("segments") == 1
 
 
+def test_a_line_said_again_and_again_is_few_rows(spark, monkeypatch):
+    line, frames = "this line is said again and again\n", {}
+
+    def noted(frame, label):
+        frames[label] = written(frame, label)
+        return frames[label]
+
+    monkeypatch.setattr("tidemark.llm.substring_dedup.written", noted)
+    rng = random.Random(9)
+    draw = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    texts = [draw(60) + line * n + draw(60) for n in (2, 30, 200, 300, 300)] + [draw(300)]
+    out = substring_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), SMALL[0]).collect()
+    assert [(bytes(r.kept), len(r.spans)) for r in sorted(out)] == list(_cut([t.encode() for t in texts], 80))
+    # One row for each text that has a segment, however often: not one for each of the 832 lines.
+    for label, key in (("segments", ["row", "content", "name"]), ("cuts", ["row", "content", "name", "s1", "s2"])):
+        assert 0 < frames[label].count() == frames[label].dropDuplicates(key).count() < 200
+
+
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 
