@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.offsets import format_offsets
 from ..operators import envelope as oe
@@ -23,20 +23,36 @@ from .registry import query
 from .snapshot_queries import CUSTOMER_TABLE, S, SNAP_SLOTS, TS_BASE
 
 CHUNKS = 3
+# Records of a staged file.
+FILE_ROWS = BUCKET_ROWS
 # A micro-batch knows the span of its records, so it needs no small buckets to be quick.
 STREAM_CONFIG = replace(EVENTS_CONFIG, snapshot_mode="no_data", bucket_rows=BUCKET_ROWS)
 
 
-def stage_log(spark: SparkSession, log: DataFrame, path: str, chunks: range, total: int = CHUNKS) -> None:
-    """Appends parts of a log in arrival order, as a writer of the log would."""
-    top = log.agg(F.max("seq") + 1).scalar()
+def stage_log(spark: SparkSession, log: DataFrame, path: str, chunks: range, total: int = CHUNKS) -> int:
+    """Appends parts of a log in arrival order, as a writer of the log would, and returns how many files each part has.
+
+    The files of a part are written at once and land in any order, so a batch must take a
+    part whole: all parts have as many files, one for each range of numbers. Where a range
+    would be empty, which would leave a file out, a part is one file.
+    """
+    known = log.agg(F.max("seq").alias("high"), F.count("seq").alias("rows")).first()
+    top = F.lit(1 if known["high"] is None else known["high"] + 1).cast("bigint")
+
+    def place(ranges: int) -> Column:
+        return F.call_function("div", F.col("seq") * ranges, top)
+
+    files = max(1, -(-known["rows"] // (FILE_ROWS * total)))
+    if files > 1 and log.select(place(total * files).alias("place")).distinct().count() < total * files:
+        files = 1
     for chunk in chunks:
-        part = F.call_function("div", F.col("seq") * total, top)
-        log.where(part == chunk).write.mode("append").parquet(path)
+        part = log.where(place(total) == chunk).repartitionById(files, F.pmod(place(total * files), F.lit(files)).cast("int"))
+        part.sortWithinPartitions("seq").write.mode("append").parquet(path)
+    return files
 
 
-def _drain(spark, job: Capture, path: str, mixed: bool = False, **options) -> None:
-    changes = open_changes(spark, job, path, mixed, max_files=1)
+def _drain(spark, job: Capture, path: str, mixed: bool = False, *, files: int = 1, **options) -> None:
+    changes = open_changes(spark, job, path, mixed, max_files=files)
     started = run_cdc(spark, job, changes, **options)
     if started is not None:
         started.awaitTermination()
@@ -284,13 +300,13 @@ def stream_keyed_log_query(spark, sf_dir):
     """Messages of a keyed log that failed halfway through a part: each is there once."""
     job, path = _job(spark, "stream-log")
     log = FileLog(f"{path}-messages")
-    stage_log(spark, fx.events_changelog(spark, sf_dir), path, range(CHUNKS))
+    files = stage_log(spark, fx.events_changelog(spark, sf_dir), path, range(CHUNKS))
     try:
-        _drain(spark, replace(job, log=Broken(log.path)), path)
+        _drain(spark, replace(job, log=Broken(log.path)), path, files=files)
     except StreamingQueryException as problem:
         if "the log went away" not in str(problem):
             raise
-    _drain(spark, replace(job, log=log), path)
+    _drain(spark, replace(job, log=log), path, files=files)
     sent = log.read(spark)
     own = [F.get_json_object("key", "$.payload.user_id").cast("bigint").alias("key_user_id"), F.get_json_object("value", "$.payload.op").alias("op")]
     return sent.groupBy("seq", "topic", *own, "is_tombstone").agg(F.count(F.lit(1)).alias("copies"))

@@ -62,12 +62,14 @@ class Capture:
 
     def write(self, events: DataFrame, run: int, batch: int, part: int = 0) -> None:
         folder = self.folder("events", run, batch, part)
-        write_events(cdc_records(events, self.config), folder)
+        records = cdc_records(events, self.config)
+        write_events(records, folder)
         if self.live is not None:
             write_state_batch(events, self.live, batch, run, part)
         log = KafkaLog(self.kafka) if self.log is None and self.kafka is not None else self.log
         if log is not None:
-            written = events.sparkSession.read.parquet(folder)
+            # A part without events leaves no file that would tell its schema.
+            written = events.sparkSession.read.schema(records.schema).parquet(folder)
             name = f"{self.config.topic_prefix}.{self.config.db}.{self.config.table}"
             send_once(log, to_messages(written, name, self.table), self.state, f"{run}:{batch}:{part}")
 
