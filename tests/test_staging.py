@@ -41,14 +41,19 @@ def duck(tables):
     con.close()
 
 
-# Records of a staged file, so that a part of the log is one file, or several that land in any order.
-ROWS = {"one file": 1 << 18, "several files": 15}
-
-
-@pytest.mark.parametrize("rows", ROWS.values(), ids=ROWS.keys())
-@pytest.mark.parametrize("name", ["stream_keyed_log"])
-def test_a_log_from_several_files_gives_the_rows_of_the_sql(spark, tables, duck, monkeypatch, name, rows):
-    monkeypatch.setattr(stream_queries, "FILE_ROWS", rows, raising=False)
+NAMES = [
+    "stream_keyed_log",
+    "stream_from_offsets",
+    "stream_current_state",
+    "stream_gaps",
+    "stream_shuffled",
+]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_a_log_from_several_files_gives_the_rows_of_the_sql(spark, tables, duck, monkeypatch, name):
+    # A part of the staged log is several files too, which land in any order.
+    monkeypatch.setattr(stream_queries, "FILE_ROWS", 15, raising=False)
     assert difference(spark, duck, entry.queries()[name], entry.oracle_sql()[name], tables) is None
 
 

@@ -113,8 +113,8 @@ def stream_resume_query(spark, sf_dir):
 def stream_from_offsets_query(spark, sf_dir):
     text = ",".join(o or "null" for o in START)
     job, log = _job(spark, "stream-offsets", replace(STREAM_CONFIG, offsets=text, tombstones=False))
-    stage_log(spark, fx.events_changelog(spark, sf_dir), log, range(CHUNKS))
-    _drain(spark, job, log)
+    files = stage_log(spark, fx.events_changelog(spark, sf_dir), log, range(CHUNKS))
+    _drain(spark, job, log, files=files)
     events = read_events(spark, job)
     return events.select("seq", "value.op", format_offsets("value.source.offsets").alias("offsets"))
 
@@ -137,8 +137,8 @@ def stream_after_snapshot_query(spark, sf_dir):
     job = Capture(
         replace(fx.CUSTOMER_CONFIG, bucket_rows=BUCKET_ROWS), CUSTOMER_TABLE, f"{root}/out", f"{root}/state", ts_ms=F.col("seq") + TS_BASE
     )
-    stage_log(spark, fx.customer_changes(spark, sf_dir), f"{root}/log", range(CHUNKS))
-    _drain(spark, job, f"{root}/log", snapshot=fx.customer_snapshot(spark, sf_dir))
+    files = stage_log(spark, fx.customer_changes(spark, sf_dir), f"{root}/log", range(CHUNKS))
+    _drain(spark, job, f"{root}/log", files=files, snapshot=fx.customer_snapshot(spark, sf_dir))
     return read_events(spark, job).select(
         F.when(F.col("batch") == 0, 0).otherwise(1).alias("phase"),
         "seq",
@@ -157,8 +157,8 @@ def stream_after_snapshot_query(spark, sf_dir):
 )
 def stream_current_state_query(spark, sf_dir):
     root = fresh_path(spark, "stream-state")
-    stage_log(spark, fx.events_changelog(spark, sf_dir), f"{root}/log", range(CHUNKS))
-    changes = oe.event_key(oe.map_op(oe.drop_markers(change_stream(spark, f"{root}/log", EVENTS_TABLE, max_files=1))), ["user_id"])
+    files = stage_log(spark, fx.events_changelog(spark, sf_dir), f"{root}/log", range(CHUNKS))
+    changes = oe.event_key(oe.map_op(oe.drop_markers(change_stream(spark, f"{root}/log", EVENTS_TABLE, max_files=files))), ["user_id"])
     events = changes.select("key", "seq", "op", F.struct("event_type", "value").alias("after"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -203,8 +203,8 @@ def stream_shuffled_query(spark, sf_dir):
     job, path = _job(spark, "stream-shuffled", replace(STREAM_CONFIG, arrival_order="hold"))
     log = fx.events_changelog(spark, sf_dir)
     for chunk in SHUFFLED:
-        stage_log(spark, log, path, range(chunk, chunk + 1), len(SHUFFLED))
-        _drain(spark, job, path)
+        files = stage_log(spark, log, path, range(chunk, chunk + 1), len(SHUFFLED))
+        _drain(spark, job, path, files=files)
     return _records(read_events(spark, job))
 
 
@@ -221,8 +221,8 @@ def stream_gaps_query(spark, sf_dir):
     job, path = _job(spark, "stream-gaps", replace(STREAM_CONFIG, arrival_order="hold"))
     log = fx.events_changelog(spark, sf_dir)
     for chunk in SHUFFLED:
-        stage_log(spark, log, path, range(chunk, chunk + 1), len(SHUFFLED))
-        _drain(spark, job, path)
+        files = stage_log(spark, log, path, range(chunk, chunk + 1), len(SHUFFLED))
+        _drain(spark, job, path, files=files)
     found = spark.read.parquet(f"{job.out}/gaps")
     return found.select(F.col("batch").cast("bigint").alias("batch"), "gap_begin", "gap_end")
 
