@@ -47,6 +47,7 @@ NAMES = [
     "stream_current_state",
     "stream_gaps",
     "stream_shuffled",
+    "stream_from_options",
 ]
 
 

@@ -359,6 +359,6 @@ def stream_from_options_query(spark, sf_dir):
     ]
     for other in others:
         log = log.unionByName(other)
-    stage_log(spark, log, f"{root}/log", range(CHUNKS))
-    _drain(spark, job, f"{root}/log", mixed=True)
+    files = stage_log(spark, log, f"{root}/log", range(CHUNKS))
+    _drain(spark, job, f"{root}/log", mixed=True, files=files)
     return _records(read_events(spark, job))
