@@ -49,6 +49,7 @@ NAMES = [
     "stream_shuffled",
     "stream_from_options",
     "stream_cdc_events",
+    "stream_resume",
 ]
 
 

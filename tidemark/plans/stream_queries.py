@@ -97,10 +97,10 @@ def stream_cdc_events_query(spark, sf_dir):
 def stream_resume_query(spark, sf_dir):
     job, path = _job(spark, "stream-resume")
     log = fx.events_changelog(spark, sf_dir)
-    stage_log(spark, log, path, range(1))
-    _drain(spark, job, path)
+    files = stage_log(spark, log, path, range(1))
+    _drain(spark, job, path, files=files)
     stage_log(spark, log, path, range(1, CHUNKS))
-    _drain(spark, job, path)
+    _drain(spark, job, path, files=files)
     return _records(read_events(spark, job))
 
 
