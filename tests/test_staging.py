@@ -50,6 +50,7 @@ NAMES = [
     "stream_from_options",
     "stream_cdc_events",
     "stream_resume",
+    "stream_retry",
 ]
 
 

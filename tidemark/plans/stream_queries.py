@@ -184,13 +184,13 @@ class Interrupted(Capture):
 @query("stream_retry", V + RECORDS_SQL)
 def stream_retry_query(spark, sf_dir):
     job, log = _job(spark, "stream-retry")
-    stage_log(spark, fx.events_changelog(spark, sf_dir), log, range(CHUNKS))
+    files = stage_log(spark, fx.events_changelog(spark, sf_dir), log, range(CHUNKS))
     try:
-        _drain(spark, Interrupted(job.config, job.table, job.out, job.state, ts_ms=job.ts_ms), log)
+        _drain(spark, Interrupted(job.config, job.table, job.out, job.state, ts_ms=job.ts_ms), log, files=files)
     except StreamingQueryException as problem:
         if "lost after the write" not in str(problem):
             raise
-    _drain(spark, job, log)
+    _drain(spark, job, log, files=files)
     return _records(read_events(spark, job))
 
 
