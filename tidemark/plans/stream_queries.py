@@ -266,13 +266,13 @@ def stream_event_batches_query(spark, sf_dir):
     """Micro-batches cut into parts of at most so many events; a job that dies between two parts goes on after the last."""
     options = {**JOB_OPTIONS, "max.batch.size": str(_part_size(spark, sf_dir)), "tombstones.on.delete": "false"}
     job, log = _job(spark, "stream-parts", CdcConfig.from_options(options))
-    stage_log(spark, fx.events_changelog(spark, sf_dir), log, range(CHUNKS))
+    files = stage_log(spark, fx.events_changelog(spark, sf_dir), log, range(CHUNKS))
     try:
-        _drain(spark, Cut(job.config, job.table, job.out, job.state, ts_ms=job.ts_ms), log)
+        _drain(spark, Cut(job.config, job.table, job.out, job.state, ts_ms=job.ts_ms), log, files=files)
     except StreamingQueryException as problem:
         if "lost after the write" not in str(problem):
             raise
-    _drain(spark, job, log)
+    _drain(spark, job, log, files=files)
     place = [F.col(c).cast("bigint").alias(c) for c in ("batch", "part")]
     return read_events(spark, job).select("seq", *place, "value.op", format_offsets("value.source.offsets").alias("offsets"))
 
