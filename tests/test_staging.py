@@ -52,6 +52,7 @@ NAMES = [
     "stream_resume",
     "stream_retry",
     "stream_event_batches",
+    "stream_metrics",
 ]
 
 
